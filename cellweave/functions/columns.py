@@ -13,28 +13,27 @@ def strip_version(gene: Column | str) -> Column:
     return F.regexp_replace(gene, r"\..*", "")
 
 
-# How each kind of file name carries the run id.
+# How each kind of file name carries the run id. A "file" may also be a folder of
+# part files that bears the name.
 RUN_PATTERNS = {
-    "htseq": r"htseq_(.*)_results\.txt$",
-    "dge": r"([^/]*)_dge\.txt\.gz$",
-    "fastq": r"([^/]*?)(?:_[12])?\.(?:fastq|fq)(?:\.gz)?$",
-    "sam": r"([^/]*?)\.sam(?:\.gz)?$",
-    "matrix": r"([^/]*?)_?counts\.txt(?:\.gz)?$",
+    "htseq": r"htseq_([^/]*)_results\.txt(?:/part-[^/]*)?$",
+    "dge": r"([^/]*)_dge\.txt(?:\.gz)?(?:/part-[^/]*)?$",
+    "fastq": r"([^/]*?)(?:_[12])?\.(?:fastq|fq)(?:\.gz)?(?:/part-[^/]*)?$",
+    "sam": r"([^/]*?)\.sam(?:\.gz)?(?:/part-[^/]*)?$",
 }
 
 
 def run_from_path(path: Column | str, kind: str) -> Column:
     """Run id carried by the last part of a path or URL; ``any`` keeps the name without ``.gz``."""
-    base = F.substring_index(path, "/", -1)
     if kind == "any":
-        return F.regexp_replace(base, r"\.gz$", "")
-    return F.regexp_extract(base, RUN_PATTERNS[kind], 1)
+        return F.regexp_replace(F.substring_index(path, "/", -1), r"\.gz$", "")
+    return F.regexp_extract(path, RUN_PATTERNS[kind], 1)
 
 
 def mate_from_path(path: Column | str) -> Column:
     """2 for ``<run>_2.fastq``, otherwise 1."""
-    return F.when(F.col(path).rlike(r"_2\.(fastq|fq)(\.gz)?$") if isinstance(path, str)
-                  else path.rlike(r"_2\.(fastq|fq)(\.gz)?$"), 2).otherwise(1)
+    path = F.col(path) if isinstance(path, str) else path
+    return F.when(path.rlike(r"_2\.(fastq|fq)(\.gz)?(/part-[^/]*)?$"), 2).otherwise(1)
 
 
 def log2p1(value: Column | str) -> Column:

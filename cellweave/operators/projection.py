@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.context import settle
@@ -60,73 +60,76 @@ def pca_of_head(assay: DataFrame, cells: DataFrame, results: DataFrame, n: int =
     return pca(assay, cells, ntop=n, k=k, value=value, genes=head_genes(results, n))
 
 
-def mds(distances: DataFrame, k: int = 2, rounds: int = 30, tolerance: float = 1e-7) -> DataFrame:
+def mds(distances: DataFrame, k: int = 2, rounds: int = 30, tolerance: float = 1e-6) -> DataFrame:
     """Classical scaling ``(cell, axis1..axisk)`` of a complete distance table.
 
-    Subspace iteration on the doubly centred squared distances: the distances stay distributed,
-    each round is one join and one sum, and only ``width x width`` numbers reach the driver.
+    Subspace iteration on the doubly centred squared distances. The distances stay distributed: a
+    round is one join with the cells' few direction values, one sum per cell, and one aggregate of
+    which only ``width x width`` numbers reach the driver.
     """
-    width = k + 4
     d2 = F.col("d") * F.col("d")
     edges = settle(distances.select(F.explode(F.array(
         F.struct(F.col("i").alias("a"), F.col("j").alias("b"), d2.alias("d2")),
         F.struct(F.col("j").alias("a"), F.col("i").alias("b"), d2.alias("d2")))).alias("e")).select("e.*"))
     rows = settle(edges.groupBy(F.col("a").alias("cell")).agg(F.sum("d2").alias("row_sum")))
     n, total = rows.agg(F.count("*"), F.sum("row_sum")).first()
-    width = min(width, n)
-    columns = [f"v{c}" for c in range(width)]
+    width = min(k + 6, n)
+    names = [f"v{c}" for c in range(width)]
     # Fixed starting directions from the cell id: the same for any partitioning.
-    state = rows.select("cell", (F.col("row_sum") / n).alias("row_mean"), *[
+    state = settle(rows.select("cell", (F.col("row_sum") / n).alias("row_mean"), *[
         (F.pmod(F.xxhash64("cell", F.lit(c)), F.lit(2**20)) / float(2**20) - 0.5).alias(f"v{c}")
-        for c in range(width)])
-    state = settle(state)
+        for c in range(width)]))
+    gram, plain, weighted, _ = _summaries(state, names, [])
     previous = None
     for _ in range(rounds):
-        state = settle(_orthonormal(state, columns))
-        basis = state.select("cell", *[F.col(c).alias(f"u{c}") for c in columns])
-        product = settle(_apply_centred(edges, state, columns, n, total))
-        gram = _gram(product.join(basis, "cell"), [f"u{c}" for c in columns], columns)
-        values = np.sort(np.linalg.eigvalsh((gram + gram.T) / 2))[::-1][:k]
-        if previous is not None and np.all(np.abs(values - previous) <= tolerance * max(1.0, abs(values[0]))):
+        turn = _orthonormal(gram)
+        basis = state.select("cell", "row_mean", *_turned(names, turn, [f"u{c}" for c in range(width)]))
+        state = settle(_apply_centred(edges, basis, width, plain @ turn, weighted @ turn, total / (n * n)))
+        gram, plain, weighted, ritz = _summaries(state, names, [f"u{c}" for c in range(width)])
+        ritz = (ritz + ritz.T) / 2
+        values = np.sort(np.linalg.eigvalsh(ritz))[::-1][:k]
+        if previous is not None and np.all(np.abs(values - previous) <= tolerance * max(abs(values[0]), 1e-300)):
             break
         previous = values
-        state = product
-    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    values, vectors = np.linalg.eigh(ritz)
     order = np.argsort(values)[::-1][:k]
-    axes = []
-    for position, c in enumerate(order):
-        weight = np.sqrt(max(values[c], 0.0))
-        terms = [F.col(f"u{columns[r]}") * float(vectors[r, c] * weight) for r in range(width)]
-        axes.append(sum(terms[1:], terms[0]).alias(f"axis{position + 1}"))
-    return basis.select("cell", *axes)
+    axes = vectors[:, order] * np.sqrt(np.maximum(values[order], 0.0))
+    return state.select("cell", *_turned([f"u{c}" for c in range(width)], axes, [f"axis{c + 1}" for c in range(k)]))
 
 
-def _gram(df: DataFrame, left: list[str], right: list[str]) -> np.ndarray:
-    sums = df.agg(*[F.sum(F.col(a) * F.col(b)) for a in left for b in right]).first()
-    return np.array(list(sums), dtype=float).reshape(len(left), len(right))
+def _turned(names: list[str], matrix: np.ndarray, out: list[str]) -> list[Column]:
+    """Linear combinations of columns."""
+    combined = []
+    for c, name in enumerate(out):
+        terms = [F.col(names[r]) * float(matrix[r, c]) for r in range(len(names))]
+        combined.append(sum(terms[1:], terms[0]).alias(name))
+    return combined
 
 
-def _orthonormal(state: DataFrame, columns: list[str]) -> DataFrame:
-    gram = _gram(state, columns, columns)
+def _summaries(state: DataFrame, names: list[str], basis: list[str]):
+    """Gram matrix, column sums, row-mean weighted sums and basis products in one aggregate."""
+    w = len(names)
+    parts = [F.sum(F.col(a) * F.col(c)) for a in names for c in names]
+    parts += [F.sum(c) for c in names] + [F.sum(F.col("row_mean") * F.col(c)) for c in names]
+    parts += [F.sum(F.col(a) * F.col(c)) for a in basis for c in names]
+    found = np.array(list(state.agg(*parts).first()), dtype=float)
+    square = w * w
+    ritz = found[square + 2 * w:].reshape(w, w) if basis else np.zeros((w, w))
+    return found[:square].reshape(w, w), found[square:square + w], found[square + w:square + 2 * w], ritz
+
+
+def _orthonormal(gram: np.ndarray) -> np.ndarray:
     values, vectors = np.linalg.eigh(gram)
-    safe = np.where(values > 1e-12 * max(values.max(), 1e-300), values, np.inf)
-    turn = vectors / np.sqrt(safe)
-    fresh = []
-    for c in range(len(columns)):
-        terms = [F.col(columns[r]) * float(turn[r, c]) for r in range(len(columns))]
-        fresh.append(sum(terms[1:], terms[0]).alias(columns[c]))
-    return state.select("cell", "row_mean", *fresh)
-
-
-def _apply_centred(edges: DataFrame, state: DataFrame, columns: list[str], n: int, total: float) -> DataFrame:
-    """-1/2 J D2 J applied to the state columns."""
-    sums = state.agg(*[F.sum(c) for c in columns], *[F.sum(F.col("row_mean") * F.col(c)) for c in columns]).first()
-    plain, weighted = sums[: len(columns)], sums[len(columns):]
-    grand = total / (n * n)
-    moved = edges.join(state.drop("row_mean").withColumnRenamed("cell", "b"), "b").groupBy(
-        F.col("a").alias("cell")).agg(*[F.sum(F.col("d2") * F.col(c)).alias(f"p{c}") for c in columns])
-    back = moved.join(state.select("cell", "row_mean"), "cell")
-    return back.select("cell", "row_mean", *[
-        (-0.5 * (F.col(f"p{c}") - F.col("row_mean") * float(plain[i])
-                 - float(weighted[i]) + grand * float(plain[i]))).alias(c)
-        for i, c in enumerate(columns)])
+    safe = np.where(values > 1e-13 * max(values.max(), 1e-300), values, np.inf)
+    return vectors / np.sqrt(safe)
+
+
+def _apply_centred(edges: DataFrame, basis: DataFrame, width: int, plain: np.ndarray, weighted: np.ndarray,
+                   grand: float) -> DataFrame:
+    """-1/2 J D2 J applied to the basis columns ``u``, as columns ``v`` next to them."""
+    spread = basis.select(F.col("cell").alias("b"), *[f"u{c}" for c in range(width)])
+    moved = edges.join(spread, "b").groupBy(F.col("a").alias("cell")).agg(
+        *[F.sum(F.col("d2") * F.col(f"u{c}")).alias(f"p{c}") for c in range(width)])
+    return moved.join(basis, "cell").select("cell", "row_mean", *[f"u{c}" for c in range(width)], *[
+        (-0.5 * (F.col(f"p{c}") - F.col("row_mean") * float(plain[c]) - float(weighted[c])
+                 + grand * float(plain[c]))).alias(f"v{c}") for c in range(width)])

@@ -39,21 +39,19 @@ def trim_ends(reads: DataFrame, leading: int = 3, trailing: int = 3) -> DataFram
     return _cut(ends, F.coalesce("_first", F.lit(1)), length).drop("_q", "_first", "_last")
 
 
-def sliding_cut(qual: Column | str, window: int = 4, minimum: int = 15) -> Column:
-    """Bases before the first window whose mean quality is below the bound (whole read if none)."""
-    length = F.length(qual)
+def trim_sliding(reads: DataFrame, window: int = 4, minimum: int = 15) -> DataFrame:
+    """Cut before the first window whose mean quality is below the bound (whole read if none)."""
+    length = F.length("qual")
     starts = F.when(length >= window, F.sequence(F.lit(0), length - window)).otherwise(
         F.array().cast("array<int>"))
 
     def total(i: Column) -> Column:
-        parts = [F.ascii(F.substring(qual, i + 1 + k, F.lit(1))) - 33 for k in range(window)]
+        parts = [F.get("_q", i + k) for k in range(window)]
         return sum(parts[1:], parts[0])
 
-    return F.coalesce(F.array_min(F.filter(starts, lambda i: total(i) < window * minimum)), length)
-
-
-def trim_sliding(reads: DataFrame, window: int = 4, minimum: int = 15) -> DataFrame:
-    return _cut(reads.withColumn("_keep", sliding_cut("qual", window, minimum)), F.lit(1), F.col("_keep")).drop("_keep")
+    first_bad = F.array_min(F.filter(starts, lambda i: total(i) < window * minimum))
+    placed = reads.withColumn("_q", phred("qual")).withColumn("_keep", F.coalesce(first_bad, length))
+    return _cut(placed, F.lit(1), F.col("_keep")).drop("_q", "_keep")
 
 
 def filter_min_len(reads: DataFrame, minimum: int = 36) -> DataFrame:

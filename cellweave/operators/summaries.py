@@ -87,16 +87,11 @@ def gene_variance(assay: DataFrame, value: str = "count", n_cells=None) -> DataF
         "gene", (F.col("_s") / F.col("_n")).alias("mean"), F.greatest(spread, F.lit(0.0)).alias("variance"))
 
 
-def is_outlier(qc: DataFrame, column: str, nmads: float = 3.0, side: str = "lower", log: bool = False) -> Column:
-    """Flag expression: further than ``nmads`` median absolute deviations from the median.
+def _metric(column: str, log: bool) -> Column:
+    return (F.log10(F.col(column)) if log else F.col(column)).cast("double")
 
-    ``qc`` should be settled or stored: the two medians are scalar subqueries over it.
-    """
-    x = (F.log10(F.col(column)) if log else F.col(column)).cast("double")
-    values = qc.select(x.alias("_x"))
-    median = scalar(quantiles(values, "_x", [0.5], ["median"], settled=True))
-    gaps = values.select(F.abs(F.col("_x") - median).alias("_gap"))
-    mad = scalar(quantiles(gaps, "_gap", [0.5], ["mad"], settled=True)) * F.lit(1.4826)
+
+def _beyond(x: Column, median: Column, mad: Column, nmads: float, side: str) -> Column:
     if side == "lower":
         return x < median - nmads * mad
     if side == "higher":
@@ -104,11 +99,32 @@ def is_outlier(qc: DataFrame, column: str, nmads: float = 3.0, side: str = "lowe
     raise ValueError(f"side must be lower or higher, not {side!r}")
 
 
+def outlier_limits(qc: DataFrame, metrics: dict[str, Column]) -> DataFrame:
+    """``(metric, median, mad)`` of several cell metrics in one pass per statistic."""
+    long = settle(qc.select(*[x.alias(name) for name, x in metrics.items()]).unpivot(
+        [], list(metrics), "metric", "x"))
+    middle = settle(quantiles(long, "x", [0.5], ["median"], ["metric"], settled=True))
+    gaps = long.join(F.broadcast(middle), "metric").select("metric", F.abs(F.col("x") - F.col("median")).alias("gap"))
+    spread = quantiles(gaps, "gap", [0.5], ["mad"], ["metric"], settled=True)
+    return settle(middle.join(spread.withColumn("mad", F.col("mad") * 1.4826), "metric"))
+
+
 def flag_outliers(qc: DataFrame, rules: list[tuple[str, str, str, bool]], nmads: float = 3.0) -> DataFrame:
-    """Add one flag per rule ``(flag name, column, side, log)``."""
+    """Add one flag per rule ``(flag name, column, side, log)``: further than ``nmads`` median
+    absolute deviations from the median on the given side."""
     stable = settle(qc)
-    return stable.withColumns(
-        {name: is_outlier(stable, column, nmads, side, log) for name, column, side, log in rules})
+    metrics = {name: _metric(column, log) for name, column, _, log in rules}
+    limits = outlier_limits(stable, metrics)
+    flags = {}
+    for name, _, side, _ in rules:
+        own = limits.filter(F.col("metric") == name)
+        flags[name] = _beyond(metrics[name], scalar(own.select("median")), scalar(own.select("mad")), nmads, side)
+    return stable.withColumns(flags)
+
+
+def is_outlier(qc: DataFrame, column: str, nmads: float = 3.0, side: str = "lower", log: bool = False) -> DataFrame:
+    """The cell table with one flag column ``outlier``."""
+    return flag_outliers(qc, [("outlier", column, side, log)], nmads)
 
 
 def qc_report(flagged: DataFrame, flags: list[str]) -> DataFrame:
@@ -240,8 +256,8 @@ def mean_sd_trend(assay: DataFrame, value: str = "count", bins: int = 50, n_cell
     """Median standard deviation of genes along the rank of their mean."""
     moments = gene_variance(assay, value, n_cells).withColumn("sd", F.sqrt("variance"))
     placed = row_numbers(moments, "mean", "gene", out="_at", total="_all")
-    share = (F.col("_at") - 1) / F.col("_all")
-    binned = placed.withColumn("rank_bin", F.floor(share * bins).cast("bigint"))
+    share = F.floor((F.col("_at") - 1) * bins / F.col("_all"))
+    binned = placed.withColumn("rank_bin", share.cast("bigint"))
     medians = quantiles(binned, "sd", [0.5], ["median_sd"], ["rank_bin"])
     sizes = binned.groupBy("rank_bin").agg(F.count("*").alias("n"))
     return medians.join(sizes, "rank_bin")
