@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.context import settle
@@ -74,18 +77,17 @@ def mds(distances: DataFrame, k: int = 2, rounds: int = 30, tolerance: float = 1
     rows = settle(edges.groupBy(F.col("a").alias("cell")).agg(F.sum("d2").alias("row_sum")))
     n, total = rows.agg(F.count("*"), F.sum("row_sum")).first()
     width = min(k + 6, n)
-    names = [f"v{c}" for c in range(width)]
     # Fixed starting directions from the cell id: the same for any partitioning.
-    state = settle(rows.select("cell", (F.col("row_sum") / n).alias("row_mean"), *[
-        (F.pmod(F.xxhash64("cell", F.lit(c)), F.lit(2**20)) / float(2**20) - 0.5).alias(f"v{c}")
-        for c in range(width)]))
-    gram, plain, weighted, _ = _summaries(state, names, [])
+    state = settle(rows.select("cell", (F.col("row_sum") / n).alias("row_mean"), F.array(*[
+        F.pmod(F.xxhash64("cell", F.lit(c)), F.lit(2**20)) / float(2**20) - 0.5 for c in range(width)]).alias("v"),
+        F.array_repeat(F.lit(0.0), width).alias("u")))
+    gram, plain, weighted, _ = _summaries(state, width)
     previous = None
     for _ in range(rounds):
         turn = _orthonormal(gram)
-        basis = state.select("cell", "row_mean", *_turned(names, turn, [f"u{c}" for c in range(width)]))
+        basis = _turned(state, "v", turn, "u")
         state = settle(_apply_centred(edges, basis, width, plain @ turn, weighted @ turn, total / (n * n)))
-        gram, plain, weighted, ritz = _summaries(state, names, [f"u{c}" for c in range(width)])
+        gram, plain, weighted, ritz = _summaries(state, width)
         ritz = (ritz + ritz.T) / 2
         values = np.sort(np.linalg.eigvalsh(ritz))[::-1][:k]
         if previous is not None and np.all(np.abs(values - previous) <= tolerance * max(abs(values[0]), 1e-300)):
@@ -93,29 +95,38 @@ def mds(distances: DataFrame, k: int = 2, rounds: int = 30, tolerance: float = 1
         previous = values
     values, vectors = np.linalg.eigh(ritz)
     order = np.argsort(values)[::-1][:k]
-    axes = vectors[:, order] * np.sqrt(np.maximum(values[order], 0.0))
-    return state.select("cell", *_turned([f"u{c}" for c in range(width)], axes, [f"axis{c + 1}" for c in range(k)]))
+    axes = _turned(state, "u", vectors[:, order] * np.sqrt(np.maximum(values[order], 0.0)), "axes")
+    return axes.select("cell", *[F.get("axes", F.lit(c)).alias(f"axis{c + 1}") for c in range(k)])
+
+
+def _turned(state: DataFrame, column: str, matrix: np.ndarray, out: str) -> DataFrame:
+    """Row vectors times a small matrix, in Arrow batches (new numbers need no new generated code)."""
+    def turn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = np.array(pdf[column].tolist()).reshape(len(pdf), matrix.shape[0]) @ matrix
+            yield pd.DataFrame({"cell": pdf["cell"], "row_mean": pdf["row_mean"], out: list(rows)})
 
+    kind = state.schema["cell"].dataType.simpleString()
+    return state.mapInPandas(turn, f"cell {kind}, row_mean double, {out} array<double>")
 
-def _turned(names: list[str], matrix: np.ndarray, out: list[str]) -> list[Column]:
-    """Linear combinations of columns."""
-    combined = []
-    for c, name in enumerate(out):
-        terms = [F.col(names[r]) * float(matrix[r, c]) for r in range(len(names))]
-        combined.append(sum(terms[1:], terms[0]).alias(name))
-    return combined
 
+def _summaries(state: DataFrame, width: int):
+    """Gram matrix of v, sums of v, row-mean weighted sums of v and u'v: one small row per task."""
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(2 * width * width + 2 * width)
+        for pdf in batches:
+            if len(pdf):
+                v, u = (np.array(pdf[c].tolist()).reshape(len(pdf), width) for c in ("v", "u"))
+                total += np.concatenate([(v.T @ v).ravel(), v.sum(axis=0), pdf["row_mean"].to_numpy() @ v, (u.T @ v).ravel()])
+        yield pd.DataFrame({"at": np.arange(len(total)), "value": total})
 
-def _summaries(state: DataFrame, names: list[str], basis: list[str]):
-    """Gram matrix, column sums, row-mean weighted sums and basis products in one aggregate."""
-    w = len(names)
-    parts = [F.sum(F.col(a) * F.col(c)) for a in names for c in names]
-    parts += [F.sum(c) for c in names] + [F.sum(F.col("row_mean") * F.col(c)) for c in names]
-    parts += [F.sum(F.col(a) * F.col(c)) for a in basis for c in names]
-    found = np.array(list(state.agg(*parts).first()), dtype=float)
-    square = w * w
-    ritz = found[square + 2 * w:].reshape(w, w) if basis else np.zeros((w, w))
-    return found[:square].reshape(w, w), found[square:square + w], found[square + w:square + 2 * w], ritz
+    sums = state.mapInPandas(add_up, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()
+    found = np.zeros(2 * width * width + 2 * width)
+    for at, value in sums:
+        found[at] = value
+    square = width * width
+    return (found[:square].reshape(width, width), found[square:square + width],
+            found[square + width:square + 2 * width], found[square + 2 * width:].reshape(width, width))
 
 
 def _orthonormal(gram: np.ndarray) -> np.ndarray:
@@ -126,10 +137,16 @@ def _orthonormal(gram: np.ndarray) -> np.ndarray:
 
 def _apply_centred(edges: DataFrame, basis: DataFrame, width: int, plain: np.ndarray, weighted: np.ndarray,
                    grand: float) -> DataFrame:
-    """-1/2 J D2 J applied to the basis columns ``u``, as columns ``v`` next to them."""
-    spread = basis.select(F.col("cell").alias("b"), *[f"u{c}" for c in range(width)])
-    moved = edges.join(spread, "b").groupBy(F.col("a").alias("cell")).agg(
-        *[F.sum(F.col("d2") * F.col(f"u{c}")).alias(f"p{c}") for c in range(width)])
-    return moved.join(basis, "cell").select("cell", "row_mean", *[f"u{c}" for c in range(width)], *[
-        (-0.5 * (F.col(f"p{c}") - F.col("row_mean") * float(plain[c]) - float(weighted[c])
-                 + grand * float(plain[c]))).alias(f"v{c}") for c in range(width)])
+    """-1/2 J D2 J applied to the basis vectors ``u``, as vectors ``v`` next to them."""
+    moved = edges.join(basis.select(F.col("cell").alias("b"), "u"), "b").groupBy(F.col("a").alias("cell")).agg(
+        F.array(*[F.sum(F.col("d2") * F.get("u", F.lit(c))) for c in range(width)]).alias("p"))
+
+    def centre(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            p = np.array(pdf["p"].tolist()).reshape(len(pdf), width)
+            v = -0.5 * (p - np.outer(pdf["row_mean"], plain) - weighted + grand * plain)
+            yield pd.DataFrame({"cell": pdf["cell"], "row_mean": pdf["row_mean"], "v": list(v), "u": pdf["u"]})
+
+    kind = basis.schema["cell"].dataType.simpleString()
+    return moved.join(basis, "cell").mapInPandas(
+        centre, f"cell {kind}, row_mean double, v array<double>, u array<double>")
