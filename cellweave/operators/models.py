@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.context import scalar, settle
+from cellweave.context import scalar, settle, split_count
 from cellweave.functions import nb
 from cellweave.functions.columns import lgamma
 from cellweave.functions.tails import chi2_tail, trigamma
@@ -97,6 +97,12 @@ def gene_sums(counts: DataFrame, numbered: DataFrame) -> DataFrame:
     return by_bin.unionByName(by_count)
 
 
+def _by_gene(df: DataFrame):
+    """Group by gene over a fixed number of tasks: the rows are few but each gene costs a fit, so
+    the tasks must not be merged by size."""
+    return df.repartition(split_count(df.sparkSession), "gene").groupBy("gene")
+
+
 def _read_gene(pdf: pd.DataFrame) -> tuple[nb.GeneSums, np.ndarray, np.ndarray, float, float]:
     bins = pdf[pdf["kind"] == "bin"].sort_values(["row", "log_size"])
     hist = pdf[pdf["kind"] == "count"].sort_values("log_size")
@@ -143,7 +149,7 @@ def gene_dispersions(ready: Prepared) -> DataFrame:
             alpha = nb.best_dispersion(x, np.maximum(x @ beta, -30), gene, bins, values, times)
         return pd.DataFrame({"gene": [pdf["gene"].iloc[0]], "mean": [scaled / n], "dispersion": [alpha]})
 
-    return ready.sums.groupBy("gene").applyInPandas(estimate, f"gene {ready.gene_type}, mean double, dispersion double")
+    return _by_gene(ready.sums).applyInPandas(estimate, f"gene {ready.gene_type}, mean double, dispersion double")
 
 
 def dispersion_trend(estimates: DataFrame, rounds: int = 12) -> tuple[float, float]:
@@ -153,9 +159,10 @@ def dispersion_trend(estimates: DataFrame, rounds: int = 12) -> tuple[float, flo
     """
     used = estimates.filter((F.col("dispersion") > 100 * nb.MIN_DISPERSION) & (F.col("mean") > 0))
     a0, a1 = 0.1, 1.0
-    for _ in range(rounds):
+    for round_no in range(rounds):
         curve = F.lit(a1) / F.col("mean") + F.lit(a0)
-        ratio = F.col("dispersion") / curve
+        # The first curve is only a start: every gene counts until one has been fitted.
+        ratio = F.col("dispersion") / curve if round_no else F.lit(1.0)
         w, u, d = 1.0 / (curve * curve), 1.0 / F.col("mean"), F.col("dispersion")
         s = used.filter((ratio > 1e-4) & (ratio < 15)).agg(
             F.sum(w), F.sum(w * u), F.sum(w * u * u), F.sum(w * d), F.sum(w * u * d)).first()
@@ -207,7 +214,7 @@ def deseq_dispersion(ready: Prepared, estimates: DataFrame | None = None) -> Dat
         return pd.DataFrame({"gene": [pdf["gene"].iloc[0]], "mean": [mean], "gene_wise": [own],
                              "trend": [curve], "map": [shrunk]})
 
-    return joined.groupBy("gene").applyInPandas(
+    return _by_gene(joined).applyInPandas(
         shrink, f"gene {ready.gene_type}, mean double, gene_wise double, trend double, map double")
 
 
@@ -250,7 +257,7 @@ def likelihood_ratio(ready: Prepared, dispersions: DataFrame, drop: list[int], r
             "leverage": [np.einsum("ij,jk,ik->i", x, inverse, x)],
         })
 
-    return joined.groupBy("gene").applyInPandas(test, f"gene {ready.gene_type}, {_FIT_SCHEMA}")
+    return _by_gene(joined).applyInPandas(test, f"gene {ready.gene_type}, {_FIT_SCHEMA}")
 
 
 def nb_lrt(counts: DataFrame, cells: DataFrame, factors: list[str], ready: Prepared | None = None,
@@ -360,7 +367,7 @@ def shrink_lfc(ready: Prepared, fitted: DataFrame, coefficient: int = 1, rounds:
                              "log2FoldChange": [b / math.log(2)], "lfcSE": [se / math.log(2)]})
 
     joined = ready.sums.join(table.select("gene", "dispersion"), "gene")
-    return joined.groupBy("gene").applyInPandas(
+    return _by_gene(joined).applyInPandas(
         refit, f"gene {ready.gene_type}, baseMean double, log2FoldChange double, lfcSE double")
 
 
@@ -410,7 +417,7 @@ def find_markers(counts: DataFrame, cells: DataFrame, factor: str) -> DataFrame:
 
     kind = cells.schema[factor].dataType.simpleString()
     names = cells.sparkSession.createDataFrame(list(enumerate(levels)), f"at int, level {kind}")
-    tested = ready.sums.groupBy("gene").applyInPandas(
+    tested = _by_gene(ready.sums).applyInPandas(
         test, f"gene {ready.gene_type}, at int, log2FoldChange double, stat double, pvalue double")
     adjusted = bh_adjust(tested.join(F.broadcast(names), "at").drop("at"), "pvalue", "padj", keys=["level"])
     return group_stats(counts, cells, factor).join(adjusted, ["gene", "level"])
