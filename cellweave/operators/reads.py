@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,69 +27,83 @@ def _cut(reads: DataFrame, start: Column, length: Column) -> DataFrame:
         "seq": F.substring(F.col("seq"), start, length), "qual": F.substring(F.col("qual"), start, length)})
 
 
+def _below(bound: int) -> Column:
+    """Quality symbols under a bound, as a trim set."""
+    return F.lit("".join(chr(33 + q) for q in range(max(bound, 0))))
+
+
 def trim_ends(reads: DataFrame, leading: int = 3, trailing: int = 3) -> DataFrame:
-    """Drop bases below the quality bound from both ends; a read without a good base becomes empty."""
-    q = reads.withColumn("_q", phred("qual"))
-    places = F.sequence(F.lit(1), F.greatest(F.length("qual"), F.lit(1)))
-    first = F.array_min(F.filter(places, lambda i: F.get("_q", i - 1) >= leading))
-    last = F.array_max(F.filter(places, lambda i: F.get("_q", i - 1) >= trailing))
-    ends = q.withColumns({"_first": first, "_last": last})
-    length = F.greatest(F.lit(0), F.coalesce(F.col("_last") - F.col("_first") + 1, F.lit(0)))
-    return _cut(ends, F.coalesce("_first", F.lit(1)), length).drop("_q", "_first", "_last")
+    """Drop bases below the quality bound from both ends; a read without a good base becomes empty.
+
+    Low qualities are a set of symbols, so this is a plain trim of the quality text.
+    """
+    left = F.ltrim(F.col("qual"), _below(leading))
+    start = F.length("qual") - F.length(left) + 1
+    return _cut(reads, start, F.length(F.rtrim(left, _below(trailing))))
 
 
 def trim_sliding(reads: DataFrame, window: int = 4, minimum: int = 15) -> DataFrame:
-    """Cut before the first window whose mean quality is below the bound (whole read if none)."""
-    length = F.length("qual")
-    starts = F.when(length >= window, F.sequence(F.lit(0), length - window)).otherwise(
-        F.array().cast("array<int>"))
+    """Cut before the first window whose mean quality is below the bound (whole read if none).
 
-    def total(i: Column) -> Column:
-        parts = [F.get("_q", i + k) for k in range(window)]
-        return sum(parts[1:], parts[0])
+    The window sums come from the quality array zipped with its own shifts, in one pass.
+    """
+    placed = reads.withColumn("_q", phred("qual")).withColumn("_n", F.size("_q") - (window - 1))
+    shifts = [F.slice("_q", F.lit(k + 1), F.greatest(F.col("_n"), F.lit(0))).alias(f"s{k}") for k in range(window)]
+
+    def is_bad(w: Column) -> Column:
+        values = [w[f"s{k}"] for k in range(window)]
+        return sum(values[1:], values[0]) < window * minimum
 
-    first_bad = F.array_min(F.filter(starts, lambda i: total(i) < window * minimum))
-    placed = reads.withColumn("_q", phred("qual")).withColumn("_keep", F.coalesce(first_bad, length))
-    return _cut(placed, F.lit(1), F.col("_keep")).drop("_q", "_keep")
+    first_bad = F.array_position(F.transform(F.arrays_zip(*shifts), is_bad), True)
+    keep = F.when(first_bad > 0, first_bad - 1).otherwise(F.length("qual")).cast("int")
+    return _cut(placed.withColumn("_keep", keep), F.lit(1), F.col("_keep")).drop("_q", "_n", "_keep")
 
 
 def filter_min_len(reads: DataFrame, minimum: int = 36) -> DataFrame:
     return reads.filter(F.length("seq") >= minimum)
 
 
-def _matrix(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """Texts as a zero-padded byte matrix and their lengths."""
-    raw = [t.encode("latin-1", "replace") for t in texts]
-    lengths = np.array([len(r) for r in raw], dtype=int)
-    width = max(int(lengths.max()) if len(raw) else 0, 1)
-    flat = b"".join(r.ljust(width, b"\0") for r in raw)
-    return np.frombuffer(flat, dtype=np.uint8).reshape(len(raw), width), lengths
-
-
-# Fixed value: score of one matching base, log10(4); a mismatch costs a tenth of its quality.
+# Score of one matching base, log10(4); a mismatch costs a tenth of its quality.
+# The seed is the first 16 bases.
 MATCH_SCORE = 0.602
+SEED_BASES = 16
 
 
-def _adapter_cut(seq: np.ndarray, lengths: np.ndarray, qual: np.ndarray, adapter: np.ndarray,
-                 seed_mismatches: int, min_score: float) -> np.ndarray:
-    """First place per read where the adapter starts (the read length if nowhere)."""
-    cut = lengths.copy()
-    for at in range(seq.shape[1] - 1, -1, -1):
-        span = min(len(adapter), seq.shape[1] - at)
-        part = seq[:, at:at + span]
-        inside = (np.arange(span)[None, :] + at) < lengths[:, None]
-        same = (part == adapter[None, :span]) & inside
-        score = (same * MATCH_SCORE).sum(axis=1) - ((inside & ~same) * np.maximum(qual[:, at:at + span] - 33.0, 0)).sum(axis=1) / 10
-        seed = (inside & ~same)[:, :16].sum(axis=1)
-        cut = np.where((seed <= seed_mismatches) & (score >= min_score), at, cut)
-    return np.minimum(cut, lengths)
-
+def _seed_places(text: str, pattern: str, seed_mismatches: int) -> list[int]:
+    """Places where the pattern's seed fits the text with few enough mismatches.
 
-def _adapter_list(adapters: DataFrame) -> list[np.ndarray]:
+    With m mismatches allowed, one of m + 1 pieces of the seed must occur unchanged, so only the
+    places of these pieces are looked at.
+    """
+    seed = pattern[:SEED_BASES]
+    parts = seed_mismatches + 1
+    bounds = [len(seed) * k // parts for k in range(parts + 1)]
+    places = set()
+    for low, high in zip(bounds, bounds[1:]):
+        found = text.find(seed[low:high])
+        while found >= 0 and high > low:
+            places.add(found - low)
+            found = text.find(seed[low:high], found + 1)
+    return [at for at in sorted(places) if at >= 0
+            and sum(x != y for x, y in zip(text[at:at + len(seed)], seed)) <= seed_mismatches]
+
+
+def _adapter_start(seq: str, qual: str, adapter: str, seed_mismatches: int, min_score: float) -> int:
+    """First place where the adapter lies in the read (the read's length if nowhere)."""
+    for at in _seed_places(seq, adapter, seed_mismatches):
+        score = 0.0
+        for base, wanted, q in zip(seq[at:], adapter, qual[at:]):
+            score += MATCH_SCORE if base == wanted else -(ord(q) - 33) / 10
+        if score >= min_score:
+            return at
+    return len(seq)
+
+
+def _adapter_list(adapters: DataFrame) -> list[str]:
     rows = adapters.select("seq").limit(MAX_ADAPTERS + 1).collect()
     if len(rows) > MAX_ADAPTERS:
         raise ValueError(f"more than {MAX_ADAPTERS} adapters")
-    return [np.frombuffer(r[0].encode("latin-1"), dtype=np.uint8) for r in rows]
+    return [r[0] for r in rows]
 
 
 def clip_adapters(reads: DataFrame, adapters: DataFrame, seed_mismatches: int = 2, min_score: float = 10.0) -> DataFrame:
@@ -100,44 +113,38 @@ def clip_adapters(reads: DataFrame, adapters: DataFrame, seed_mismatches: int =
 
     def clip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if len(pdf):
-                seq, lengths = _matrix(pdf["seq"])
-                qual, _ = _matrix(pdf["qual"])
-                cut = lengths
-                for adapter in known:
-                    cut = np.minimum(cut, _adapter_cut(seq, lengths, qual, adapter, seed_mismatches, min_score))
-                pdf["seq"] = [s[:c] for s, c in zip(pdf["seq"], cut)]
-                pdf["qual"] = [s[:c] for s, c in zip(pdf["qual"], cut)]
-            yield pdf
+            cut = [min([_adapter_start(s, q, a, seed_mismatches, min_score) for a in known], default=len(s))
+                   for s, q in zip(pdf["seq"], pdf["qual"])]
+            yield pdf.assign(
+                seq=[s[:c] for s, c in zip(pdf["seq"], cut)], qual=[q[:c] for q, c in zip(pdf["qual"], cut)])
 
     return reads.mapInPandas(clip, reads.schema)
 
 
-def clip_palindromes(pairs: DataFrame, min_score: float = 30.0) -> DataFrame:
+# Complementary bases.
+COMPLEMENT = str.maketrans("ACGTN", "TGCAN")
+
+
+def _insert_size(seq1: str, seq2: str, seed_mismatches: int, min_score: float) -> int | None:
+    """Length of the stretch both mates read through, if they do."""
+    other = seq2.translate(COMPLEMENT)[::-1]
+    for at in _seed_places(other, seq1, seed_mismatches):
+        size = len(other) - at
+        if size <= len(seq1):
+            same = sum(x == y for x, y in zip(seq1, other[at:]))
+            if MATCH_SCORE * same - 3.0 * (size - same) >= min_score:
+                return size
+    return None
+
+
+def clip_palindromes(pairs: DataFrame, seed_mismatches: int = 2, min_score: float = 30.0) -> DataFrame:
     """Read-through pairs: when the first L bases of one mate are the reverse complement of the
     first L bases of the other with a high enough score, both mates are cut to L."""
-    complement = np.zeros(256, dtype=np.uint8)
-    # Complementary bases.
-    for a, b in ("AT", "TA", "CG", "GC", "NN"):
-        complement[ord(a)] = ord(b)
 
     def clip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if len(pdf):
-                seq1, len1 = _matrix(pdf["seq1"])
-                seq2, len2 = _matrix(pdf["seq2"])
-                shortest = np.minimum(len1, len2)
-                insert = np.full(len(pdf), -1)
-                for size in range(int(np.ceil(min_score / MATCH_SCORE)), int(shortest.max()) + 1):
-                    mate = complement[seq2[:, :size][:, ::-1]]
-                    score = np.where(seq1[:, :size] == mate, MATCH_SCORE, -3.0).sum(axis=1)
-                    hit = (insert < 0) & (shortest >= size) & (score >= min_score)
-                    insert = np.where(hit, size, insert)
-                for column, lengths in (("1", len1), ("2", len2)):
-                    keep = np.where(insert >= 0, insert, lengths)
-                    for part in ("seq", "qual"):
-                        pdf[part + column] = [s[:c] for s, c in zip(pdf[part + column], keep)]
-            yield pdf
+            size = [_insert_size(x, y, seed_mismatches, min_score) for x, y in zip(pdf["seq1"], pdf["seq2"])]
+            yield pdf.assign(**{c: [t[:n] for t, n in zip(pdf[c], size)] for c in ("seq1", "qual1", "seq2", "qual2")})
 
     return pairs.mapInPandas(clip, pairs.schema)
 

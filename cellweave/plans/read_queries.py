@@ -32,7 +32,7 @@ def _shape(df):
     return df.select("run", "read_idx", F.length("seq").cast("bigint").alias("length"), F.md5("seq").alias("seq"))
 
 
-@query("trim_ends", sql("qualities", """, e AS (SELECT run, read_idx, seq, list_position(list_transform(q, lambda v: v >= 20), true) AS f,
+@query("trim_ends", sql("reads qualities", """, e AS (SELECT run, read_idx, seq, list_position(list_transform(q, lambda v: v >= 20), true) AS f,
 len(q) + 1 - list_position(list_reverse(list_transform(q, lambda v: v >= 20)), true) AS l FROM qualities)
 SELECT run, read_idx, CAST(CASE WHEN f IS NULL OR f = 0 THEN 0 ELSE l - f + 1 END AS BIGINT) AS length,
 md5(CASE WHEN f IS NULL OR f = 0 THEN '' ELSE substr(seq, f, l - f + 1) END) AS seq FROM e"""))
@@ -40,7 +40,7 @@ def _(spark, d):
     return _shape(reads.trim_ends(b.reads(spark, d), 20, 20))
 
 
-@query("trim_sliding", sql("qualities", """, w AS (SELECT run, read_idx, seq, list_position(list_transform(range(1, len(q) - 2), lambda i: q[i] + q[i + 1] + q[i + 2] + q[i + 3] < 60), true) AS f FROM qualities)
+@query("trim_sliding", sql("reads qualities", """, w AS (SELECT run, read_idx, seq, list_position(list_transform(range(1, len(q) - 2), lambda i: q[i] + q[i + 1] + q[i + 2] + q[i + 3] < 60), true) AS f FROM qualities)
 SELECT run, read_idx, CAST(CASE WHEN f IS NULL OR f = 0 THEN length(seq) ELSE f - 1 END AS BIGINT) AS length,
 md5(CASE WHEN f IS NULL OR f = 0 THEN seq ELSE substr(seq, 1, f - 1) END) AS seq FROM w"""))
 def _(spark, d):
@@ -72,7 +72,7 @@ def _(spark, d):
     return reads.extract_barcodes(pairs).select("run", "read_idx", "xc", "umi")
 
 
-@query("quality_by_position", sql("qualities", """, u AS (SELECT run, unnest(q) AS q, unnest(range(0, len(q))) AS pos FROM qualities)
+@query("quality_by_position", sql("reads qualities", """, u AS (SELECT run, unnest(q) AS q, unnest(range(0, len(q))) AS pos FROM qualities)
 SELECT run, pos, quantile_cont(q, 0.25) AS q1, quantile_cont(q, 0.5) AS median, quantile_cont(q, 0.75) AS q3, round(AVG(q), 6) AS mean FROM u GROUP BY 1, 2"""))
 def _(spark, d):
     table = reads.quality_by_position(b.reads(spark, d))
