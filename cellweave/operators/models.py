@@ -303,12 +303,23 @@ def nb_dispersion(counts: DataFrame, groups: DataFrame, prior_n: float = 10.0,
     sizes = groups.groupBy("group").agg(F.count("*").cast("double").alias("n"))
     pseudo = counts.filter("count > 0").join(scale, "cell").select(
         "gene", "group", (F.col("count") * F.col("_scale")).alias("y"))
-    at = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("at")
-    size = F.pow(F.lit(2.0), -(F.lit(low) + (high - low) / (points - 1) * F.col("at")))
-    own = pseudo.select("gene", "y", at).select("gene", "at", (lgamma(F.col("y") + size) - lgamma(size)).alias("v"))
+    sizes_on_grid = [2.0 ** -(low + (high - low) / (points - 1) * k) for k in range(points)]
+    at = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("at"), F.lit(r).alias("size"), F.lit(math.lgamma(r)).alias("base"))
+        for k, r in enumerate(sizes_on_grid)])).alias("_g")
+    own = (
+        pseudo.select("gene", "y", at)
+        .select("gene", "_g.at", "_g.base", (F.col("y") + F.col("_g.size")).alias("x"))
+        .select("gene", "at", (lgamma(F.col("x")) - F.col("base")).alias("v")))
     totals = pseudo.groupBy("gene", "group").agg(F.sum("y").alias("z")).join(sizes, "group")
-    given = totals.select("gene", "n", "z", at).select(
-        "gene", "at", (lgamma(F.col("n") * size) - lgamma(F.col("z") + F.col("n") * size)).alias("v"))
+    given = (
+        totals.select("gene", "n", "z", at)
+        .select("gene", "_g.at", (F.col("n") * F.col("_g.size")).alias("a"))
+        .withColumn("v", lgamma(F.col("a")))
+        .unionByName(totals.select("gene", "n", "z", at)
+                     .select("gene", "_g.at", (F.col("z") + F.col("n") * F.col("_g.size")).alias("a"))
+                     .withColumn("v", -lgamma(F.col("a"))))
+        .select("gene", "at", "v"))
     curves = settle(own.groupBy("gene", "at").agg(F.sum("v").alias("v")).unionByName(
         given.groupBy("gene", "at").agg(F.sum("v").alias("v"))).groupBy("gene", "at").agg(F.sum("v").alias("v")))
     genes = scalar(curves.filter("at = 0").agg(F.count("*")))
