@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from cellweave.llm import decontaminate, quality, secrets
+from cellweave.llm import decontaminate, packing, quality, secrets, warc
 
 QUERIES = {
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_secret_scan": secrets.op6_secret_scan,
+    "op9_best_fit_packing": packing.op9_best_fit_packing,
+    "op10_warc": warc.op10_warc,
 }
 
 ORACLES = {
     "op4_benchmark_decontamination": decontaminate.OP4_SQL,
     "op5_quality_rules": quality.OP5_SQL,
     "op6_secret_scan": secrets.OP6_SQL,
+    "op10_warc": warc.OP10_SQL,
 }
