@@ -14,6 +14,7 @@ rows with null doc_id too. Only doc_id and text are read, so further columns can
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -32,6 +33,9 @@ SIZE = 2048
 END = 0
 CACHED_WORDS = 1_000_000  # words whose ids a worker keeps; results don't depend on it
 _AWKWARD = re.compile(r"\s (?:\s|$)")
+_PLAIN = re.compile("[!-~\u00a1-\u024f]+")  # words without white space, of letters all libraries class alike
+# Fixed value: how byte-level vocabularies of this family cut text into words.
+WORD_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _LOADED: dict[str, "Encoder"] = {}
 
 
@@ -41,9 +45,26 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def merge_ranks(path: str) -> dict[bytes, int] | None:
+    """Tokens as bytes with their ids, if ids follow the order of merges; else None."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    vocab = model["vocab"]
+    if any(vocab.get(a + b) != 256 + i for i, (a, b) in enumerate(pairs)) or any(vocab.get(c, 256) > 255 for c in byte):
+        return None
+    return {bytes(byte[c] for c in token): i for token, i in vocab.items() if i < 256 + len(pairs)}
+
+
 class Encoder:
     """Token ids of texts, remembering the ids of words.
 
+    New plain words are encoded together by the faster of two libraries with the same vocabulary, and
+    the ids are dealt out by their lengths in bytes.
+
     The byte-level pre-tokenizer always cuts before a blank that has a non-blank on either side, so a text
     is the concatenation of its blank-led words. Texts with a blank between other white space, or with the
     name of a special token, are encoded whole.
@@ -55,6 +76,13 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        ranks, self.joint = merge_ranks(path), None
+        if ranks is not None:
+            import tiktoken
+
+            self.joint = tiktoken.Encoding("joint", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.bytes_of = np.zeros(max(ranks.values()) + 1, np.int64)
+            self.bytes_of[list(ranks.values())] = list(map(len, ranks))
         self.clear()
 
     def clear(self) -> None:
@@ -66,12 +94,24 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        ids = self._whole([" " + w for w in words])
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        plain = [w for w in words if self.joint and _PLAIN.fullmatch(w)]
+        if plain:
+            ids = np.array(self.joint.encode_ordinary(" " + " ".join(plain)), np.uint32)
+            ends = np.cumsum(self.bytes_of[ids])
+            limits = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in plain), np.int64, len(plain)))
+            last = np.searchsorted(ends, limits) + 1
+            self._remember(plain, np.diff(last, prepend=0), ids)
+        rest = [w for w in words if not (self.joint and _PLAIN.fullmatch(w))]
+        if rest:
+            ids = self._whole([" " + w for w in rest])
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            self._remember(rest, sizes, np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum())))
+
+    def _remember(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
         self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
         self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.pool = np.concatenate([self.pool, np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))])
+        self.pool = np.concatenate([self.pool, ids])
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if len(self.place) > CACHED_WORDS:
