@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from cellweave.llm import decontaminate, packing, quality, secrets, warc
+from cellweave.llm import decontaminate, jaccard_join, packing, quality, secrets, warc
 
 QUERIES = {
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_secret_scan": secrets.op6_secret_scan,
+    "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_warc": warc.op10_warc,
 }
