@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable
 
@@ -28,7 +29,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame as Parquet to the shared folder and read it back: compact, and it cuts lineage."""
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of stored frames that nothing reads any more."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps now: its cleaner acts when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -25,9 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from cellweave.llm.common import small_batches, stored, table
+from cellweave.llm.common import discard, release, small_batches, stored, table
 from cellweave.llm.components import components
 from cellweave.llm.shingles import fingerprint, shingle_sets
 
@@ -64,7 +63,7 @@ def rarity(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def described(docs: DataFrame, size: int, threshold: Fraction, levels: np.ndarray) -> DataFrame:
-    """Per row: doc_id, n, cid (128 bits that name the set) and the prefix in order."""
+    """Per row: doc_id, n, cid (128 bits that name the set), gid (the same for prefix and n) and the prefix in order."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,48 +75,56 @@ def described(docs: DataFrame, size: int, threshold: Fraction, levels: np.ndarra
                 level = table_[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
                 keep = len(own) - math.ceil(threshold * len(own)) + 1 if len(own) else 0
                 prefixes.append(own[np.argsort(level, kind="stable")[:keep]].view(np.int64))
+            groups = [fingerprint(np.append(p, len(s)).view(np.uint64) + np.arange(len(p) + 1, dtype=np.uint64)) for p, s in zip(prefixes, sets)]
             ends = np.cumsum([0, *map(len, prefixes)])
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary()),
-                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes) if prefixes else [], pa.int64()))],
-                names=["doc_id", "n", "cid", "prefix"])
+                pa.array(groups, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes) if prefixes else [], pa.int64()))],
+                names=["doc_id", "n", "cid", "gid", "prefix"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, n long, cid binary, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, n long, cid binary, gid binary, prefix array<long>")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(cid, set) of the documents named in ``ids``."""
+def _class_texts(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(cid, text) of the documents named in ``ids``: texts are smaller than their sets of hashes."""
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets(_texts(batch), size)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([fingerprint(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cid", "set"])
+            cids = [fingerprint(s) for s in shingle_sets(_texts(batch), size)]
+            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.binary()), batch.column(0)], names=["cid", "text"])
 
     named = docs.select("doc_id", "text").join(ids.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return named.select("text").mapInArrow(make, "cid binary, set binary")
+    return named.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(name, "cid binary, text string")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, threshold: Fraction) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold."""
+    """The pairs (a, b) whose sets reach the threshold, stored."""
     up, down = threshold.numerator, threshold.denominator
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            cids = batch.column(0).to_pylist() + batch.column(1).to_pylist()
+            texts = batch.column(2).cast(pa.binary()).to_pylist() + batch.column(3).cast(pa.binary()).to_pylist()
+            once = dict(zip(cids, texts))
+            sets = dict(zip(once, shingle_sets(list(once.values()), size)))
             keep = []
-            for one, two in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(two.as_buffer(), np.uint64)
+            for one, two in zip(cids, cids[batch.num_rows:]):
+                x, y = sets[one], sets[two]
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(down * both >= up * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     needed = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     ids = classes.join(needed, "cid").select("doc_id").distinct()
-    sets = stored(_sets(docs, ids, size), "sets")
-    both = pairs.join(sets.withColumnsRenamed({"cid": "a", "set": "x"}), "a").join(sets.withColumnsRenamed({"cid": "b", "set": "y"}), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(check, "a binary, b binary")
+    texts = stored(_class_texts(docs, ids, size), "class-texts")
+    release(docs.sparkSession)
+    both = pairs.join(texts.withColumnsRenamed({"cid": "a", "text": "x"}), "a").join(texts.withColumnsRenamed({"cid": "b", "text": "y"}), "b")
+    links = stored(both.select("a", "b", "x", "y").mapInArrow(check, "a binary, b binary"), "verified")
+    discard(texts)
+    release(docs.sparkSession)
+    return links
 
 
 def _enough(threshold: Fraction, n: str, m: str, i: str, j: str):
@@ -128,15 +135,12 @@ def _enough(threshold: Fraction, n: str, m: str, i: str, j: str):
 
 
 def star_pairs(entries: DataFrame, threshold: Fraction) -> DataFrame:
-    """Every member of a bucket with the member of smallest place among those of like size."""
+    """Every group of a bucket (token, pos, n, g) with the group of smallest place among those of like size."""
     step = math.log(1 / float(threshold))
     placed = entries.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / step))
-    best = placed.groupBy("token", "band").agg(F.min(F.struct("pos", "cid", "n")).alias("best"), F.count("*").alias("m")).where("m > 1")
-    # The centre of the next band is asked as well, since sizes in neighbouring bands can be near enough.
-    pairs = placed.join(best, ["token", "band"]).select(
-        "cid", "n", "pos", F.col("best.cid").alias("cid2"), F.col("best.n").alias("n2"), F.col("best.pos").alias("pos2"))
-    return pairs.where((F.col("cid") != F.col("cid2")) & _enough(threshold, "n", "n2", "pos", "pos2")).select(
-        F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b")).distinct()
+    best = placed.groupBy("token", "band").agg(F.min(F.struct("pos", "g", "n")).alias("best"), F.count("*").alias("m")).where("m > 1")
+    pairs = placed.join(best.select("token", "band", F.col("best.g").alias("g2"), F.col("best.n").alias("n2"), F.col("best.pos").alias("pos2")), ["token", "band"])
+    return pairs.where((F.col("g") != F.col("g2")) & _enough(threshold, "n", "n2", "pos", "pos2")).select("g", "g2").distinct()
 
 
 def rest_pairs(entries: DataFrame, threshold: Fraction) -> DataFrame:
@@ -160,23 +164,31 @@ def linked(docs: DataFrame, size: int = 3, threshold: Fraction = Fraction(9, 10)
     small_batches(spark)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = stored(described(docs, size, threshold, rarity(docs, size)), "prefixes")
-    classes = rows.where("cid is not null").groupBy("cid").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    classes = stored(classes.withColumn("g", F.sha2(F.concat(F.col("n").cast("string"), F.lit(":"), F.array_join("prefix", ",")), 256)), "classes")
-    groups = classes.groupBy("g").agg(F.min("cid").alias("cid"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.count("*").alias("m"))
-    postings = stored(groups.select("g", "cid", "n", F.posexplode("prefix").alias("pos", "token")), "postings")
+    # Two groups with the same g would only be asked more; groups themselves are told apart by all 128 bits.
+    number = F.xxhash64("gid").alias("g")
+    classes = stored(rows.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.first(number).alias("g")), "classes")
+    groups = rows.where("cid is not null").groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    postings = groups.select(number, F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token")).select("token", "pos", "n", "g")
+    postings = stored(postings, "postings")
+    release(spark)
     shared = postings.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
-    postings = stored(postings.join(shared, "token"), "buckets")
-
-    inside = classes.join(groups.where("m > 1").select("g", F.col("cid").alias("first")), "g").where("cid <> first")
-    pairs = star_pairs(postings, threshold).unionByName(inside.select(F.col("first").alias("a"), F.col("cid").alias("b"))).distinct()
-    links = stored(verified(stored(pairs, "pairs"), classes, docs, size, threshold), "links")
+    buckets = stored(postings.join(shared, "token"), "buckets")
+    discard(postings)
+    release(spark)
+
+    heads = classes.groupBy("g").agg(F.min("cid").alias("head"))
+    between = star_pairs(buckets, threshold).join(heads.select("g", F.col("head").alias("one")), "g").join(
+        heads.select(F.col("g").alias("g2"), F.col("head").alias("two")), "g2").select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b"))
+    inside = classes.join(heads, "g").where("cid <> head").select(F.col("head").alias("a"), F.col("cid").alias("b"))
+    pairs = stored(between.unionByName(inside).distinct(), "pairs")
+    release(spark)
+    links = verified(pairs, classes, docs, size, threshold)
     roots = stored(components(links), "roots")
 
     rooted = classes.select("cid", "g").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "g", F.coalesce("root", "cid").alias("root"))
     rooted = stored(rooted, "rooted")
     parts = rooted.select("g", "root").distinct()
-    entries = postings.select("token", "pos", "n", "g").join(parts, "g")
+    entries = buckets.join(parts, "g")
     apart = rest_pairs(entries, threshold)
     split = parts.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("g")
     own = parts.join(split, "g")
@@ -187,8 +199,11 @@ def linked(docs: DataFrame, size: int = 3, threshold: Fraction = Fraction(9, 10)
         members.select(F.col("g").alias("g2"), F.col("root").alias("root2"), F.col("a").alias("b")), ["g2", "root2"]).select("a", "b").distinct()
     pairs = stored(pairs, "pairs")
     if not pairs.isEmpty():
+        release(spark)
         more = verified(pairs, classes, docs, size, threshold)
         roots = stored(components(links.unionByName(more)), "roots")
+    discard(buckets)
+    release(spark)
 
     named = classes.select("cid", "doc_id").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     named = stored(named, "named")
