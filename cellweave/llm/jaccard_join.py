@@ -134,6 +134,20 @@ def _enough(threshold: Fraction, n: str, m: str, i: str, j: str):
     return (F.col(n) * down >= F.col(m) * up) & (F.col(m) * down >= F.col(n) * up) & ((down + up) * most >= up * (F.col(n) + F.col(m)))
 
 
+def plausible(pairs: DataFrame, groups: DataFrame, threshold: Fraction) -> DataFrame:
+    """Group pairs whose prefixes share enough: beyond its prefix a set adds at most the rest of its size.
+
+    If x's prefix ends first in the order, what x's prefix shares with y lies in y's prefix; so the overlap is at most
+    the shared part of the prefixes plus the larger rest.
+    """
+    up, down = threshold.numerator, threshold.denominator
+    one = groups.select("g", F.col("n").alias("n"), F.col("prefix").alias("p"))
+    two = groups.select(F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("prefix").alias("p2"))
+    most = F.size(F.array_intersect("p", "p2")) + F.greatest(F.col("n") - F.size("p"), F.col("n2") - F.size("p2"))
+    kept = pairs.join(one, "g").join(two, "g2").where((down + up) * most >= up * (F.col("n") + F.col("n2")))
+    return kept.select(*pairs.columns).distinct()
+
+
 def star_pairs(entries: DataFrame, threshold: Fraction) -> DataFrame:
     """Every group of a bucket (token, pos, n, g) with the group of smallest place among those of like size."""
     step = math.log(1 / float(threshold))
@@ -168,16 +182,18 @@ def linked(docs: DataFrame, size: int = 3, threshold: Fraction = Fraction(9, 10)
     number = F.xxhash64("gid").alias("g")
     classes = stored(rows.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.first(number).alias("g")), "classes")
     groups = rows.where("cid is not null").groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    postings = groups.select(number, F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token")).select("token", "pos", "n", "g")
-    postings = stored(postings, "postings")
+    groups = stored(groups.select(number, "n", "prefix"), "groups")
+    narrow = stored(rows.select("doc_id", "n", "cid"), "rows")
+    discard(rows)
     release(spark)
+    postings = groups.select("g", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token")).select("token", "pos", "n", "g")
     shared = postings.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
     buckets = stored(postings.join(shared, "token"), "buckets")
-    discard(postings)
     release(spark)
 
     heads = classes.groupBy("g").agg(F.min("cid").alias("head"))
-    between = star_pairs(buckets, threshold).join(heads.select("g", F.col("head").alias("one")), "g").join(
+    stars = stored(plausible(star_pairs(buckets, threshold), groups, threshold), "stars")
+    between = stars.join(heads.select("g", F.col("head").alias("one")), "g").join(
         heads.select(F.col("g").alias("g2"), F.col("head").alias("two")), "g2").select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b"))
     inside = classes.join(heads, "g").where("cid <> head").select(F.col("head").alias("a"), F.col("cid").alias("b"))
     pairs = stored(between.unionByName(inside).distinct(), "pairs")
@@ -193,23 +209,22 @@ def linked(docs: DataFrame, size: int = 3, threshold: Fraction = Fraction(9, 10)
     split = parts.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("g")
     own = parts.join(split, "g")
     within = own.join(own.withColumnRenamed("root", "root2"), "g").where("root < root2").select("g", "root", F.col("g").alias("g2"), "root2")
-    asked = apart.unionByName(within).distinct()
+    asked = plausible(apart, groups, threshold).unionByName(within).distinct()
     members = rooted.select("g", "root", F.col("cid").alias("a"))
     pairs = asked.join(members, ["g", "root"]).join(
         members.select(F.col("g").alias("g2"), F.col("root").alias("root2"), F.col("a").alias("b")), ["g2", "root2"]).select("a", "b").distinct()
     pairs = stored(pairs, "pairs")
+    discard(buckets, groups)
+    release(spark)
     if not pairs.isEmpty():
-        release(spark)
         more = verified(pairs, classes, docs, size, threshold)
         roots = stored(components(links.unionByName(more)), "roots")
-    discard(buckets)
-    release(spark)
 
     named = classes.select("cid", "doc_id").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     named = stored(named, "named")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     labels = named.join(least, "root").select("cid", "component_id")
-    out = rows.select("doc_id", F.col("n").alias("n_shingles"), "cid").join(labels, "cid", "left")
+    out = narrow.select("doc_id", F.col("n").alias("n_shingles"), "cid").join(labels, "cid", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
