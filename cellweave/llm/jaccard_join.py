@@ -23,7 +23,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import discard, release, small_batches, stored, table
@@ -34,6 +34,9 @@ SLOT_BITS = 22
 FREQUENT = 64  # texts per slot from which a shingle's slot has a level above 0
 PER_TASK = 16_384  # slots that a task reports, its most frequent
 LEVELS = 65_536  # slots that are kept; all others have level 0. Bounds the broadcast, not the result
+WORDS = 4
+BITS = [f"b{w}" for w in range(WORDS)]  # a bitmap of the prefix: a bit that one has and the other lacks is a shingle not shared
+NAMED_SLOTS = 1 << 20  # bounds the broadcast of slots of asked ids
 BLOCK = 512  # members of a bucket that meet in one block
 
 
@@ -77,14 +80,18 @@ def described(docs: DataFrame, size: int, threshold: Fraction, levels: np.ndarra
                 prefixes.append(own[np.argsort(level, kind="stable")[:keep]].view(np.int64))
             groups = [fingerprint(np.append(p, len(s)).view(np.uint64) + np.arange(len(p) + 1, dtype=np.uint64)) for p, s in zip(prefixes, sets)]
             ends = np.cumsum([0, *map(len, prefixes)])
+            marks = np.zeros((len(sets), 64 * WORDS), bool)
+            if ends[-1]:
+                marks[np.repeat(np.arange(len(sets)), np.diff(ends)), np.concatenate(prefixes) & (64 * WORDS - 1)] = True
+            marks = np.packbits(marks, axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary()),
-                pa.array(groups, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes) if prefixes else [], pa.int64()))],
-                names=["doc_id", "n", "cid", "gid", "prefix"])
+                pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary()), pa.array(groups, pa.binary()),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes) if prefixes else [], pa.int64())),
+                *[pa.array(marks[:, w]) for w in range(WORDS)]], names=["doc_id", "n", "cid", "gid", "prefix", *BITS])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, n long, cid binary, gid binary, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, n long, cid binary, gid binary, prefix array<long>, " + ", ".join(f"{b} long" for b in BITS))
 
 
 def _class_texts(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -95,7 +102,10 @@ def _class_texts(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
             cids = [fingerprint(s) for s in shingle_sets(_texts(batch), size)]
             yield pa.RecordBatch.from_arrays([pa.array(cids, pa.binary()), batch.column(0)], names=["cid", "text"])
 
-    named = docs.select("doc_id", "text").join(ids.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    # At most NAMED_SLOTS slots are broadcast, to keep most unasked texts out of the shuffle; the join that follows is exact.
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(NAMED_SLOTS)).alias("slot")
+    near = docs.select("doc_id", "text", slot).join(F.broadcast(ids.select(slot).distinct()), "slot", "left_semi")
+    named = near.join(ids.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     return named.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(name, "cid binary, text string")
 
 
@@ -127,11 +137,22 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, t
     return links
 
 
-def _enough(threshold: Fraction, n: str, m: str, i: str, j: str):
-    """Size bound and positional bound of two members of a bucket."""
+def _enough(threshold: Fraction) -> Column:
+    """Size bound, positional bound and bitmap bound of two members (n, pos, b*) and (n2, pos2, c*) of a bucket."""
     up, down = threshold.numerator, threshold.denominator
-    most = F.least(F.col(n) - F.col(i), F.col(m) - F.col(j))
-    return (F.col(n) * down >= F.col(m) * up) & (F.col(m) * down >= F.col(n) * up) & ((down + up) * most >= up * (F.col(n) + F.col(m)))
+    n, m = F.col("n"), F.col("n2")
+    sizes = (n * down >= m * up) & (m * down >= n * up)
+    places = (down + up) * F.least(n - F.col("pos"), m - F.col("pos2")) >= up * (n + m)
+
+    def prefix(size: Column) -> Column:
+        return size - F.ceil(size * up / down) + 1
+
+    def only(one: str, two: str) -> Column:
+        return sum(F.bit_count(F.col(f"{one}{w}").bitwiseAND(F.bitwise_not(F.col(f"{two}{w}")))) for w in range(WORDS))
+
+    shared = F.least(prefix(n) - only("b", "c"), prefix(m) - only("c", "b"))
+    rest = F.greatest(n - prefix(n), m - prefix(m))
+    return sizes & places & ((down + up) * (shared + rest) >= up * (n + m))
 
 
 def plausible(pairs: DataFrame, groups: DataFrame, threshold: Fraction) -> DataFrame:
@@ -149,26 +170,28 @@ def plausible(pairs: DataFrame, groups: DataFrame, threshold: Fraction) -> DataF
 
 
 def star_pairs(entries: DataFrame, threshold: Fraction) -> DataFrame:
-    """Every group of a bucket (token, pos, n, g) with the group of smallest place among those of like size."""
+    """Every group of a bucket (token, pos, n, g, bits) with the group of smallest place among those of like size."""
     step = math.log(1 / float(threshold))
     placed = entries.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / step))
-    best = placed.groupBy("token", "band").agg(F.min(F.struct("pos", "g", "n")).alias("best"), F.count("*").alias("m")).where("m > 1")
-    pairs = placed.join(best.select("token", "band", F.col("best.g").alias("g2"), F.col("best.n").alias("n2"), F.col("best.pos").alias("pos2")), ["token", "band"])
-    return pairs.where((F.col("g") != F.col("g2")) & _enough(threshold, "n", "n2", "pos", "pos2")).select("g", "g2").distinct()
+    best = placed.groupBy("token", "band").agg(F.min(F.struct("pos", "g", "n", *BITS)).alias("best"), F.count("*").alias("m")).where("m > 1")
+    best = best.select("token", "band", F.col("best.g").alias("g2"), F.col("best.n").alias("n2"), F.col("best.pos").alias("pos2"),
+                       *[F.col(f"best.b{w}").alias(f"c{w}") for w in range(WORDS)])
+    return placed.join(best, ["token", "band"]).where((F.col("g") != F.col("g2")) & _enough(threshold)).select("g", "g2").distinct()
 
 
 def rest_pairs(entries: DataFrame, threshold: Fraction) -> DataFrame:
     """All pairs of groups in a bucket that pass the bounds and aren't connected yet, block against block.
 
-    ``entries``: token, pos, n, g, root; one row per bucket, group and component.
+    ``entries``: token, pos, n, g, bits, root; one row per bucket, group and component.
     """
     open_ = entries.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m")).where("low <> high")
     rows = entries.join(open_.select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "token")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("g", "root"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = rows.select("token", F.col("own").alias("x"), other.alias("y"), "n", "pos", "g", "root")
-    right = rows.select("token", F.col("own").alias("y"), other.alias("x"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("g").alias("g2"), F.col("root").alias("root2"))
-    met = left.join(right, ["token", "x", "y"]).where((F.col("root") < F.col("root2")) & _enough(threshold, "n", "n2", "pos", "pos2"))
+    left = rows.select("token", F.col("own").alias("x"), other.alias("y"), "n", "pos", "g", "root", *BITS)
+    right = rows.select("token", F.col("own").alias("y"), other.alias("x"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("g").alias("g2"),
+                        F.col("root").alias("root2"), *[F.col(f"b{w}").alias(f"c{w}") for w in range(WORDS)])
+    met = left.join(right, ["token", "x", "y"]).where((F.col("root") < F.col("root2")) & _enough(threshold))
     return met.select("g", "root", "g2", "root2").distinct()
 
 
@@ -181,14 +204,14 @@ def linked(docs: DataFrame, size: int = 3, threshold: Fraction = Fraction(9, 10)
     # Two groups with the same g would only be asked more; groups themselves are told apart by all 128 bits.
     number = F.xxhash64("gid").alias("g")
     classes = stored(rows.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.first(number).alias("g")), "classes")
-    groups = rows.where("cid is not null").groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    groups = stored(groups.select(number, "n", "prefix"), "groups")
+    groups = rows.where("cid is not null").groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), *[F.first(b).alias(b) for b in BITS])
+    groups = stored(groups.select(number, "n", "prefix", *BITS), "groups")
     narrow = stored(rows.select("doc_id", "n", "cid"), "rows")
     discard(rows)
     release(spark)
-    postings = groups.select("g", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token")).select("token", "pos", "n", "g")
+    postings = groups.select("g", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token")).select("token", "pos", "n", "g").repartition("token")
     shared = postings.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
-    buckets = stored(postings.join(shared, "token"), "buckets")
+    buckets = stored(postings.join(shared, "token").join(groups.select("g", *BITS), "g"), "buckets")
     release(spark)
 
     heads = classes.groupBy("g").agg(F.min("cid").alias("head"))
