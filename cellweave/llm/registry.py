@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cellweave.llm import decontaminate, jaccard_join, packing, quality, secrets, warc
+from cellweave.llm import decontaminate, jaccard_join, line_dedup, packing, quality, secrets, warc
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_secret_scan": secrets.op6_secret_scan,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
     "op4_benchmark_decontamination": decontaminate.OP4_SQL,
     "op5_quality_rules": quality.OP5_SQL,
     "op6_secret_scan": secrets.OP6_SQL,
