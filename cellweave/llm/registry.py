@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from cellweave.llm import decontaminate, jaccard_join, line_dedup, packing, quality, secrets, warc
+from cellweave.llm import (
+    decontaminate, jaccard_join, licenses, line_dedup, packing, quality, secrets, substring_dedup, toxicity, warc)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_license_scan": licenses.op2_license_scan,
+    "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_secret_scan": secrets.op6_secret_scan,
     "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_warc": warc.op10_warc,
 }
