@@ -110,9 +110,14 @@ def judge(docs: DataFrame, text: str = "text", rules: Sequence[tuple] = RULES) -
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: Sequence[tuple] = RULES) -> DataFrame:
-    """Rows that pass every rule, with the input's columns only."""
-    marked = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    return judge(marked.select("_row", F.col(f"_row.{text}").alias("_text")), "_text", rules).where("kept").select("_row.*")
+    """Rows that pass every rule, with the input's columns only.
+
+    A filter is pushed below the projections and would then compute every word again for every use of it; a
+    projection with a row number, which is not deterministic, keeps the filter above.
+    """
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    judged = judge(whole.select("_row", F.col(f"_row.{text}").alias("_text")), "_text", rules)
+    return judged.select("_row", "kept", F.monotonically_increasing_id().alias("_number")).where("kept").select("_row.*")
 
 
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
