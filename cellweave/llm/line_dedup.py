@@ -127,7 +127,7 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def keep_first_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Input columns with later copies of repeated runs deleted; a document that was nothing but copies goes."""
-    out = deduplicated(docs, min_words).withColumn("_number", F.monotonically_increasing_id())  # keeps the filter above the projection
+    out = stored(deduplicated(docs, min_words), "deduplicated")  # a filter would be pushed into the projection and repeat its work
     return out.where(f"_deleted = 0 or text rlike '[^ \\\\t-\\\\r]'").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import BLANKS, let, table
+from cellweave.llm.common import BLANKS, let, stored, table
 
 # Frequent function words of the four languages.
 STOP_WORDS = (
@@ -112,12 +112,12 @@ def judge(docs: DataFrame, text: str = "text", rules: Sequence[tuple] = RULES) -
 def keep_good(docs: DataFrame, text: str = "text", rules: Sequence[tuple] = RULES) -> DataFrame:
     """Rows that pass every rule, with the input's columns only.
 
-    A filter is pushed below the projections and would then compute every word again for every use of it; a
-    projection with a row number, which is not deterministic, keeps the filter above.
+    A filter would be pushed below the projections and then compute every word again for every use of it, so
+    verdicts are written before rows are chosen.
     """
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     judged = judge(whole.select("_row", F.col(f"_row.{text}").alias("_text")), "_text", rules)
-    return judged.select("_row", "kept", F.monotonically_increasing_id().alias("_number")).where("kept").select("_row.*")
+    return stored(judged.select("_row", "kept"), "verdicts").where("kept").select("_row.*")
 
 
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
