@@ -121,8 +121,9 @@ def pearson(assay: DataFrame, value: str = "value", by: str = "cell", over: str
 
 
 def distance_from_r(pairs: DataFrame) -> DataFrame:
-    """Correlation distance sqrt(2 (1 - r))."""
-    return pairs.select("i", "j", "r", F.sqrt(F.greatest(2.0 * (1.0 - F.col("r")), F.lit(0.0))).alias("d"))
+    """Correlation distance sqrt(2 (1 - r)); null where the correlation is undefined."""
+    distance = F.sqrt(F.greatest(2.0 * (1.0 - F.col("r")), F.lit(0.0)))
+    return pairs.select("i", "j", "r", F.when(F.col("r").isNotNull(), distance).alias("d"))
 
 
 def pearson_distance(assay: DataFrame, genes: DataFrame | None = None, value: str = "value", n=None) -> DataFrame:
