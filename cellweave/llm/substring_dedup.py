@@ -34,45 +34,60 @@ BANDS, BAND_ROWS = 4, 2
 SIMILAR = 0.8
 MIN_WORDS = 25  # of a passage in whole pieces; a repeated passage of 50 words holds as much
 GAP = 14  # words of unrepeated text inside a passage
-SLOTS = 1 << 20  # bounds the broadcast of slots of repeated pieces
+SLOTS = 1 << 24  # bounds the broadcast of slots of repeated pieces to 2 MB
+RUN = 1 << 18
 BLOCK = 512
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def cut_points(words: np.ndarray) -> np.ndarray:
-    """Begins of pieces, and the number of words at the end."""
-    n = len(words)
-    if n < 3:
-        return np.array([0, n])
-    marks = shingle_hashes(words, 3)
-    padded = np.pad(marks, NEIGHBOURS, constant_values=np.uint64(2**64 - 1))
-    least = np.lib.stride_tricks.sliding_window_view(padded, 2 * NEIGHBOURS + 1).min(axis=1)
-    cuts = np.flatnonzero(marks == least)
-    return np.unique(np.concatenate([[0], cuts, [n]]))
+def cut_points(words: np.ndarray, bounds: np.ndarray | None = None) -> np.ndarray:
+    """Begins of pieces, and the number of words at the end. ``words`` may hold many texts, text i from bounds[i] to bounds[i + 1]."""
+    bounds = np.array([0, len(words)]) if bounds is None else bounds
+    begins = np.zeros(len(words) + 1, bool)
+    begins[bounds] = True
+    if len(words) >= 3:
+        marks = shingle_hashes(words, 3)
+        owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        inside = np.flatnonzero(owner[:-2] == owner[2:])
+        gap = NEIGHBOURS + 2  # between texts, so that no text sees the marks of another
+        spread = np.full(len(words) + gap * len(bounds) + NEIGHBOURS, 2**64 - 1, np.uint64)
+        at = inside + gap * (owner[inside] + 1)
+        spread[at] = marks[inside]
+        least = spread[NEIGHBOURS:len(spread) - NEIGHBOURS].copy()
+        for k in range(2 * NEIGHBOURS + 1):
+            np.minimum(least, spread[k:k + len(least)], out=least)
+        begins[inside[spread[at] == least[at - NEIGHBOURS]]] = True
+    return np.flatnonzero(begins)
 
 
-def pieces_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per text: begins and ends of pieces of SHINGLE words or more, and the hashes of all shingles."""
-    words, bounds = word_hashes(texts)
-    for a, b in zip(bounds, bounds[1:]):
-        own = words[a:b]
-        cuts = cut_points(own)
-        long = np.diff(cuts) >= SHINGLE
-        yield cuts[:-1][long], cuts[1:][long], shingle_hashes(own, SHINGLE)
+def pieces_of(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begins and ends of all pieces of SHINGLE words or more, and the hashes of all shingles, of many texts at once.
+
+    A shingle that runs across two texts belongs to no piece.
+    """
+    cuts = cut_points(words, bounds)
+    long = np.diff(cuts) >= SHINGLE
+    return cuts[:-1][long], cuts[1:][long], shingle_hashes(words, SHINGLE)
+
+
+def _members(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the shingles of every piece, and the piece of each."""
+    sizes = ends - SHINGLE + 1 - starts
+    owner = np.repeat(np.arange(len(starts)), sizes)
+    return np.arange(len(owner)) - (np.cumsum(sizes) - sizes - starts)[owner], owner
 
 
 def _names(starts: np.ndarray, ends: np.ndarray, shingles: np.ndarray) -> np.ndarray:
     """64 bits per piece that name its sequence of shingles."""
-    places = np.arange(len(shingles), dtype=np.uint64)
-    last = ends - SHINGLE + 1
-    owner = np.repeat(np.arange(len(starts)), last - starts)
-    at = np.concatenate([np.arange(a, b) for a, b in zip(starts, last)]) if len(starts) else np.zeros(0, np.int64)
-    inside = places[at] - starts[owner].astype(np.uint64)
-    return np.add.reduceat(mix(shingles[at] + mix(inside)), np.cumsum(last - starts) - (last - starts)) if len(starts) else np.zeros(0, np.uint64)
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    at, owner = _members(starts, ends)
+    sizes = ends - SHINGLE + 1 - starts
+    return np.add.reduceat(mix(shingles[at] + mix((at - starts[owner]).astype(np.uint64))), np.cumsum(sizes) - sizes)
 
 
 def band_keys(starts: np.ndarray, ends: np.ndarray, shingles: np.ndarray) -> np.ndarray:
-    """BANDS keys per piece."""
+    """BANDS keys per piece; the lowest bits tell the band."""
     edges = np.stack([starts, ends - SHINGLE + 1], axis=1).ravel()
     padded = np.append(shingles, np.uint64(2**64 - 1))
     keys = np.empty((len(starts), BANDS), np.uint64)
@@ -81,7 +96,7 @@ def band_keys(starts: np.ndarray, ends: np.ndarray, shingles: np.ndarray) -> np.
         for row in range(BAND_ROWS):
             least = np.minimum.reduceat(mix(padded * _SEEDS[band * BAND_ROWS + row]), edges)[::2]
             key = mix(key * _SEEDS[0] + least)
-        keys[:, band] = key
+        keys[:, band] = key // np.uint64(BANDS) * np.uint64(BANDS) + np.uint64(band)
     return keys
 
 
@@ -89,45 +104,64 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()]
 
 
+def _runs(words: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of whole texts of about RUN words, to bound the arrays made from them."""
+    at = 0
+    while at < len(bounds) - 1:
+        end = max(int(np.searchsorted(bounds, bounds[at] + RUN, side="right")) - 1, at + 1)
+        yield at, end
+        at = end
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """(key, name) of every piece and band."""
+    """(key, name) of every piece and band; a piece that a run of texts holds more than twice is given twice."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, names = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-            for starts, ends, shingles in pieces_of(_texts(batch)):
-                if len(starts):
-                    keys.append(band_keys(starts, ends, shingles).ravel())
-                    names.append(np.repeat(_names(starts, ends, shingles), BANDS))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(names).view(np.int64))], names=["key", "name"])
+            words, bounds = word_hashes(_texts(batch))
+            for a, b in _runs(words, bounds):
+                starts, ends, shingles = pieces_of(words[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a])
+                if not len(starts):
+                    continue
+                names, at, n = np.unique(_names(starts, ends, shingles), return_index=True, return_counts=True)
+                order = np.argsort(at)  # reduceat wants pieces in their order
+                at, twice = at[order], np.minimum(n[order], 2)
+                keys = np.repeat(band_keys(starts[at], ends[at], shingles), twice, axis=0)
+                names = np.repeat(names[order], twice * BANDS)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(names.view(np.int64))], names=["key", "name"])
 
     return docs.select("text").mapInArrow(make, "key long, name long")
 
 
 def places_of(docs: DataFrame, slots: np.ndarray) -> DataFrame:
     """doc_id, body, first, last, name and the set of shingles of pieces whose name falls in an asked slot."""
-    shared = docs.sparkSession.sparkContext.broadcast(slots)
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(slots))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = shared.value
+        asked = np.unpackbits(shared.value).view(bool)
         for batch in batches:
             texts = _texts(batch)
-            rows, bodies, first, last, names, sets = [], [], [], [], [], []
-            for row, (starts, ends, shingles) in enumerate(pieces_of(texts)):
+            words, bounds = word_hashes(texts)
+            for a, b in _runs(words, bounds):
+                starts, ends, shingles = pieces_of(words[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a])
+                names = _names(starts, ends, shingles)
+                chosen = asked[(names % np.uint64(SLOTS)).astype(np.int64)]
+                starts, ends, names = starts[chosen], ends[chosen], names[chosen]
                 if not len(starts):
                     continue
-                own = _names(starts, ends, shingles)
-                body = xxhash.xxh64_intdigest(texts[row]) - (1 << 63)
-                for k in np.flatnonzero(asked[(own % np.uint64(SLOTS)).astype(np.int64)]):
-                    rows.append(row)
-                    bodies.append(body)
-                    first.append(int(starts[k]))
-                    last.append(int(ends[k]))
-                    names.append(int(own[k].view(np.int64)))
-                    sets.append(np.unique(shingles[starts[k]:ends[k] - SHINGLE + 1]).tobytes())
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(pa.array(rows, pa.int64())), pa.array(bodies, pa.int64()), pa.array(first, pa.int64()), pa.array(last, pa.int64()),
-                pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["doc_id", "body", "first", "last", "name", "set"])
+                row = np.searchsorted(bounds, starts + bounds[a], side="right") - 1
+                bodies = {r: xxhash.xxh64_intdigest(texts[r]) - (1 << 63) for r in np.unique(row).tolist()}
+                at, owner = _members(starts, ends)
+                order = np.lexsort((shingles[at], owner))
+                members, owner = shingles[at][order], owner[order]
+                fresh = np.append(True, (members[1:] != members[:-1]) | (owner[1:] != owner[:-1]))
+                offsets = np.append(0, np.cumsum(np.bincount(owner[fresh], minlength=len(starts)))) * 8
+                sets = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(members[fresh])])
+                begin = bounds[row] - bounds[a]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).take(pa.array(row, pa.int64())), pa.array([bodies[r] for r in row.tolist()], pa.int64()),
+                    pa.array(starts - begin, pa.int64()), pa.array(ends - begin, pa.int64()), pa.array(names.view(np.int64)), sets],
+                    names=["doc_id", "body", "first", "last", "name", "set"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(make, f"doc_id {kind}, body long, first long, last long, name long, set binary")
@@ -164,19 +198,26 @@ def copies(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    # Both uses of the rows take both columns, so they share one shuffle.
     rows = keyed(docs).repartition("key")
-    twice = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = stored(rows.join(twice, "key").distinct(), "band-buckets")
+    met = rows.groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"), F.count("*").alias("n")).where("n > 1")
+    # A bucket of one repeated piece only tells that it repeats; one band of it is enough.
+    mixed = (F.col("low") != F.col("high")).alias("mixed")
+    buckets = rows.join(met.where(f"low <> high or pmod(key, {BANDS}) = 0").select("key", mixed), "key").distinct()
+    found = stored(buckets, "band-buckets")
     release(spark)
-    asked = np.zeros(SLOTS, bool)
-    for r in buckets.select(F.floor(F.expr("pmod(name, 1048576)") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, cast(pmod(name, 64) as int))").alias("bit")).groupBy(
+    asked = np.zeros(SLOTS // 64, np.int64)
+    for r in found.select(F.floor(F.expr(f"pmod(name, {SLOTS})") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, cast(pmod(name, 64) as int))").alias("bit")).groupBy(
             "w").agg(F.bit_or("bit").alias("bits")).collect():  # at most SLOTS / 64 rows
-        asked[64 * r["w"]:64 * r["w"] + 64] = [r["bits"] >> k & 1 for k in range(64)]
-    names = buckets.select("name").distinct()
-    places = stored(places_of(docs, asked).join(names, "name", "left_semi").dropDuplicates(["doc_id", "body", "first"]), "places")
+        asked[r["w"]] = r["bits"]
+    asked = np.unpackbits(asked.view(np.uint8), bitorder="little").view(bool)
+    names = found.groupBy("name").agg(F.max("mixed").alias("mixed"))
+    places = places_of(docs, asked).join(names, "name").withColumn("set", F.when(F.col("mixed"), F.col("set"))).drop("mixed")
+    places = stored(places, "places")
     release(spark)
 
-    sets = stored(places.groupBy("name").agg(F.first("set").alias("set")), "piece-sets")
+    buckets = found.where("mixed").select("key", "name")
+    sets = stored(places.where("set is not null").groupBy("name").agg(F.first("set").alias("set")), "piece-sets")
     best = buckets.groupBy("key").agg(F.min("name").alias("pivot"), F.max("name").alias("high")).where("pivot <> high").select("key", "pivot")
     stars = buckets.join(best, "key").where("name <> pivot").select(F.col("pivot").alias("a"), F.col("name").alias("b")).distinct()
     links = _similar(stars, sets)
@@ -184,9 +225,9 @@ def copies(docs: DataFrame) -> DataFrame:
     more = stored(_rest(buckets, roots), "rest")
     if not more.isEmpty():
         roots = stored(components(links.unionByName(_similar(more, sets))), "roots")
-    clustered = places.drop("set").join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("cluster", F.coalesce("root", "name")).drop("root", "name")
+    clustered = places.drop("set").distinct().join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("cluster", F.coalesce("root", "name")).drop("root", "name")
     clustered = stored(clustered, "clustered")
-    discard(buckets, sets, places)
+    discard(found, sets, places)
     release(spark)
     first = clustered.groupBy("cluster").agg(F.min(F.struct("doc_id", "body", "first")).alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
     same = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("body") == F.col("kept.body")) & (F.col("first") == F.col("kept.first"))
