@@ -1,6 +1,7 @@
 import gzip
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from cellweave.operators import alignments, reads
@@ -105,3 +106,9 @@ def test_paired_trimming_classes(spark):
     table = spark.createDataFrame(rows, "run string, mate int, read_idx bigint, name string, seq string, qual string")
     got = reads.trim_reads(table, paired=True).groupBy("pairing").agg(F.count("*").alias("n")).collect()
     assert {r.pairing: r.n for r in got} == {"p": 2, "u": 1}
+
+
+def test_matrix_refuses_a_cell_without_a_column(spark, tmp_path):
+    counts = spark.createDataFrame([("g1", "c1", 1), ("g1", "c9", 2)], "gene string, cell string, count long")
+    with pytest.raises(Exception, match="counted cell without a column: c9"):
+        writers.write_matrix(counts, str(tmp_path / "m"), ["c1", "c2"])
