@@ -8,8 +8,9 @@ of prefix shingles.
 
 Links are only wanted up to connection, so each bucket first verifies its members against one member, that with the
 smallest place of the shingle (the least altered copy). What is then connected needs no further pairs;
-all other pairs of a bucket that pass the bounds are verified, in blocks. Nothing is capped or sampled: a
-component is exact for any data.
+all other pairs of a bucket that pass the bounds are verified, in blocks. Before texts are fetched, pairs of classes
+pass a bound on their difference: sets that differ in few shingles differ in few bits of a parity sketch of the whole set.
+Nothing is capped or sampled: a component is exact for any data.
 
 Null or blank texts have no shingles and are linked with nothing. Rows may repeat, and doc_id may be null: classes
 are made from texts alone, and the smallest doc_id that isn't null names a component. Only doc_id and text are read.
@@ -36,6 +37,8 @@ PER_TASK = 16_384  # slots that a task reports, its most frequent
 LEVELS = 65_536  # slots that are kept; all others have level 0. Bounds the broadcast, not the result
 WORDS = 4
 BITS = [f"b{w}" for w in range(WORDS)]  # a bitmap of the prefix: a bit that one has and the other lacks is a shingle not shared
+SKETCH_WORDS = 16
+SKETCH = [f"s{w}" for w in range(SKETCH_WORDS)]  # a bit is the parity of the shingles of the whole set that fall on it
 NAMED_SLOTS = 1 << 20  # bounds the broadcast of slots of asked ids
 BLOCK = 512  # members of a bucket that meet in one block
 
@@ -65,8 +68,17 @@ def rarity(docs: DataFrame, size: int) -> np.ndarray:
     return levels
 
 
+def _sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of SKETCH_WORDS numbers per set; two rows differ in at most as many bits as their sets in shingles."""
+    bits = 64 * SKETCH_WORDS
+    odd = np.zeros((len(sets), bits), bool)
+    for row, own in zip(odd, sets):
+        row[:] = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd, axis=1).view(np.int64)
+
+
 def described(docs: DataFrame, size: int, threshold: Fraction, levels: np.ndarray) -> DataFrame:
-    """Per row: doc_id, n, cid (128 bits that name the set), gid (the same for prefix and n) and the prefix in order."""
+    """Per row: doc_id, n, cid (128 bits that name the set), gid (the same for prefix and n), the prefix in order and its bits, the sketch."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,14 +96,16 @@ def described(docs: DataFrame, size: int, threshold: Fraction, levels: np.ndarra
             if ends[-1]:
                 marks[np.repeat(np.arange(len(sets)), np.diff(ends)), np.concatenate(prefixes) & (64 * WORDS - 1)] = True
             marks = np.packbits(marks, axis=1).view(np.int64)
+            sketches = _sketches(sets)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary()), pa.array(groups, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes) if prefixes else [], pa.int64())),
-                *[pa.array(marks[:, w]) for w in range(WORDS)]], names=["doc_id", "n", "cid", "gid", "prefix", *BITS])
+                *[pa.array(marks[:, w]) for w in range(WORDS)], *[pa.array(sketches[:, w]) for w in range(SKETCH_WORDS)]],
+                names=["doc_id", "n", "cid", "gid", "prefix", *BITS, *SKETCH])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, n long, cid binary, gid binary, prefix array<long>, " + ", ".join(f"{b} long" for b in BITS))
+    return docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, n long, cid binary, gid binary, prefix array<long>, " + ", ".join(f"{b} long" for b in BITS + SKETCH))
 
 
 def _class_texts(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -155,6 +169,15 @@ def _enough(threshold: Fraction) -> Column:
     return sizes & places & ((down + up) * (shared + rest) >= up * (n + m))
 
 
+def near(pairs: DataFrame, classes: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs (a, b) of classes whose sketches allow the threshold: the sets differ in at least as many shingles as the sketches in bits."""
+    up, down = threshold.numerator, threshold.denominator
+    one = classes.select(F.col("cid").alias("a"), F.col("n").alias("n"), *SKETCH)
+    two = classes.select(F.col("cid").alias("b"), F.col("n").alias("n2"), *[F.col(s).alias(f"{s}_") for s in SKETCH])
+    apart = sum(F.bit_count(F.col(s).bitwiseXOR(F.col(f"{s}_"))) for s in SKETCH)
+    return pairs.join(one, "a").join(two, "b").where((down + up) * apart <= (down - up) * (F.col("n") + F.col("n2"))).select("a", "b")
+
+
 def plausible(pairs: DataFrame, groups: DataFrame, threshold: Fraction) -> DataFrame:
     """Group pairs whose prefixes share enough: beyond its prefix a set adds at most the rest of its size.
 
@@ -187,11 +210,14 @@ def rest_pairs(entries: DataFrame, threshold: Fraction) -> DataFrame:
     open_ = entries.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m")).where("low <> high")
     rows = entries.join(open_.select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "token")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("g", "root"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = rows.select("token", F.col("own").alias("x"), other.alias("y"), "n", "pos", "g", "root", *BITS)
-    right = rows.select("token", F.col("own").alias("y"), other.alias("x"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("g").alias("g2"),
-                        F.col("root").alias("root2"), *[F.col(f"b{w}").alias(f"c{w}") for w in range(WORDS)])
-    met = left.join(right, ["token", "x", "y"]).where((F.col("root") < F.col("root2")) & _enough(threshold))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    rows = rows.select("token", "own", other, "n", "pos", "g", "root", *BITS)
+    # Blocks x and y meet in the cell (x, y), x <= y: both sides are the same rows, which are shuffled once.
+    cells = rows.select("token", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "n", "pos", "g", "root", *BITS).repartition(
+        "token", "x", "y")
+    twin = cells.withColumnsRenamed({"own": "own2", "n": "n2", "pos": "pos2", "g": "g2", "root": "root2"} | {f"b{w}": f"c{w}" for w in range(WORDS)})
+    once = (F.col("own") != F.col("own2")) | (F.col("x") == F.col("y"))
+    met = cells.join(twin, ["token", "x", "y"]).where(once & (F.col("root") < F.col("root2")) & _enough(threshold))
     return met.select("g", "root", "g2", "root2").distinct()
 
 
@@ -203,7 +229,8 @@ def linked(docs: DataFrame, size: int = 3, threshold: Fraction = Fraction(9, 10)
     rows = stored(described(docs, size, threshold, rarity(docs, size)), "prefixes")
     # Two groups with the same g would only be asked more; groups themselves are told apart by all 128 bits.
     number = F.xxhash64("gid").alias("g")
-    classes = stored(rows.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.first(number).alias("g")), "classes")
+    classes = stored(rows.where("cid is not null").groupBy("cid").agg(
+        F.min("doc_id").alias("doc_id"), F.first(number).alias("g"), F.first("n").alias("n"), *[F.first(s).alias(s) for s in SKETCH]), "classes")
     groups = rows.where("cid is not null").groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), *[F.first(b).alias(b) for b in BITS])
     groups = stored(groups.select(number, "n", "prefix", *BITS), "groups")
     narrow = stored(rows.select("doc_id", "n", "cid"), "rows")
@@ -215,11 +242,12 @@ def linked(docs: DataFrame, size: int = 3, threshold: Fraction = Fraction(9, 10)
     release(spark)
 
     heads = classes.groupBy("g").agg(F.min("cid").alias("head"))
-    stars = stored(plausible(star_pairs(buckets, threshold), groups, threshold), "stars")
+    stars = stored(star_pairs(buckets, threshold), "stars")
+    release(spark)
     between = stars.join(heads.select("g", F.col("head").alias("one")), "g").join(
         heads.select(F.col("g").alias("g2"), F.col("head").alias("two")), "g2").select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b"))
     inside = classes.join(heads, "g").where("cid <> head").select(F.col("head").alias("a"), F.col("cid").alias("b"))
-    pairs = stored(between.unionByName(inside).distinct(), "pairs")
+    pairs = stored(near(between.unionByName(inside).distinct(), classes, threshold), "pairs")
     release(spark)
     links = verified(pairs, classes, docs, size, threshold)
     roots = stored(components(links), "roots")
@@ -227,8 +255,9 @@ def linked(docs: DataFrame, size: int = 3, threshold: Fraction = Fraction(9, 10)
     rooted = classes.select("cid", "g").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "g", F.coalesce("root", "cid").alias("root"))
     rooted = stored(rooted, "rooted")
     parts = rooted.select("g", "root").distinct()
-    entries = buckets.join(parts, "g")
-    apart = rest_pairs(entries, threshold)
+    apart = stored(rest_pairs(buckets.join(parts, "g"), threshold), "rest")
+    discard(buckets)
+    release(spark)
     split = parts.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("g")
     own = parts.join(split, "g")
     within = own.join(own.withColumnRenamed("root", "root2"), "g").where("root < root2").select("g", "root", F.col("g").alias("g2"), "root2")
@@ -236,8 +265,8 @@ def linked(docs: DataFrame, size: int = 3, threshold: Fraction = Fraction(9, 10)
     members = rooted.select("g", "root", F.col("cid").alias("a"))
     pairs = asked.join(members, ["g", "root"]).join(
         members.select(F.col("g").alias("g2"), F.col("root").alias("root2"), F.col("a").alias("b")), ["g2", "root2"]).select("a", "b").distinct()
-    pairs = stored(pairs, "pairs")
-    discard(buckets, groups)
+    pairs = stored(near(pairs, classes, threshold), "pairs")
+    discard(groups)
     release(spark)
     if not pairs.isEmpty():
         more = verified(pairs, classes, docs, size, threshold)
