@@ -51,13 +51,14 @@ def rarity(docs: DataFrame, size: int) -> np.ndarray:
     """Level of every slot: 0, or the binary logarithm of its count of texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SLOT_BITS, np.int64)
+        counts = np.zeros(1 << SLOT_BITS, np.int32)
         for batch in batches:
             sets = shingle_sets(_texts(batch), size)
             if sets:
-                counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(counts))
-        top = np.argpartition(counts, -PER_TASK)[-PER_TASK:]
-        top = top[counts[top] > 1]
+                np.add.at(counts, (np.concatenate(sets) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)
+        top = np.flatnonzero(counts > 1)
+        if len(top) > PER_TASK:
+            top = top[np.argpartition(counts[top], -PER_TASK)[-PER_TASK:]]
         yield pa.RecordBatch.from_arrays([pa.array(top, pa.int64()), pa.array(counts[top], pa.int64())], names=["slot", "n"])
 
     slots = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
