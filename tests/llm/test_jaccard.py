@@ -1,4 +1,5 @@
 import random
+from fractions import Fraction
 
 import pyarrow as pa
 import pytest
@@ -58,6 +59,16 @@ def test_matches_brute_force(spark, tmp_path, seed, monkeypatch):
     assert got == [(i, n, c) for i, (n, c) in enumerate(brute(texts))]
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_five_words_match_brute_force(spark, tmp_path, seed, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 8)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    texts = corpus(seed)
+    folder = write(tmp_path, documents={"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())})
+    got = sorted(tuple(r) for r in jaccard_join.linked(spark.read.parquet(f"{folder}/documents.parquet"), 5, Fraction(4, 5)).collect())
+    assert got == [(i, n, c) for i, (n, c) in enumerate(brute(texts, 80, 100, 5))]
+
+
 def test_given_documents(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
     want = brute([r.text for r in rows])
