@@ -4,7 +4,9 @@ Text and templates are normalised to runs of ASCII letters and digits in lower c
 bigrams, a window of s distinct bigrams can reach the Dice coefficient t only if t m / (2 - t) <= s <= m (2 - t) / t, and
 it must share at least t m / (2 - t) bigrams; a template with fewer hits in a text is pruned before any window is
 compared. Windows begin and end at hits. Of overlapping findings the better one stays (then the earlier, the longer, the
-smaller name). Each text is scanned whole and alone.
+smaller name); whole permission texts are placed before the sentences that are templates too. Each text is scanned whole
+and alone. Licences without a template are not found, or take the name of one they equal to ``LEAST``; ``templates_of``
+reads further templates from a table.
 
 Null text has no words and no findings. Rows may repeat and give repeated findings; null doc_id passes through.
 """
@@ -18,6 +20,7 @@ from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cellweave.llm.common import small_batches, table
 
@@ -52,6 +55,79 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "Proprietary": "All rights reserved.",
 }
+
+# Neighbouring families and versions, so that the best Dice chooses between them.
+TEMPLATES["GPL-2.0"] = "This work is licensed under the GNU General Public License, version 2."
+TEMPLATES |= {f"LGPL-{v}": f"This work is licensed under the GNU Lesser General Public License, version {v.removesuffix('.0')}." for v in ("2.1", "3.0")}
+TEMPLATES["AGPL-3.0"] = "This work is licensed under the GNU Affero General Public License, version 3."
+for _name, _work, _family, _version in (
+        ("GPL-2.0", "program", "General", "2"), ("LGPL-2.1", "library", "Lesser General", "2.1"), ("LGPL-3.0", "program", "Lesser General", "3"),
+        ("AGPL-3.0", "program", "Affero General", "3")):
+    TEMPLATES[f"{_name}-header"] = (
+        f"This {_work} is free software: you can redistribute it and/or modify it under the terms of the GNU {_family} Public License as published by "
+        f"the Free Software Foundation, either version {_version} of the License, or (at your option) any later version.")
+for _name, _family, _version, _date in (
+        ("GPL-2.0", "General", "2", "June 1991"), ("GPL-3.0", "General", "3", "29 June 2007"), ("LGPL-2.1", "Lesser General", "2.1", "February 1999"),
+        ("LGPL-3.0", "Lesser General", "3", "29 June 2007"), ("AGPL-3.0", "Affero General", "3", "19 November 2007")):
+    TEMPLATES[f"{_name}-title"] = f"GNU {_family} Public License Version {_version}, {_date}"
+for _short, _long in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC", "Attribution-NonCommercial"),
+                      ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    for _version, _port in (("4.0", "International"), ("3.0", "Unported")):
+        _name = f"CC-{_short}-{_version}"
+        # The first templates hold one of the two forms of some names; the other gets a name of its own.
+        for _end, _text in (("", f"This work is licensed under a Creative Commons {_long} {_version} {_port} License."), ("-short", f"Licensed under CC {_short} {_version}.")):
+            if _text not in TEMPLATES.values():
+                TEMPLATES[_name + (_end or "-long" * (_name in TEMPLATES))] = _text
+TEMPLATES |= {
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "MPL-1.1": (
+        'The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License"); you may not use this file except in '
+        "compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/"),
+    "EPL-1.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this "
+        "distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0/"),
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)",
+    "BUSL-1.1": "Use of this software is governed by the Business Source License included in the LICENSE file.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "Zlib": (
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it "
+        "freely, subject to the following restrictions:"),
+}
+_CLAUSES = (
+    TEMPLATES["BSD"] + " 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution. ")
+_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+    "software without specific prior written permission. ")
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, '
+    "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS "
+    "BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+    "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_ISC_END = (
+    ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+    "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER "
+    "RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE "
+    "USE OR PERFORMANCE OF THIS SOFTWARE.")
+# Whole permission texts hold sentences that are templates themselves, so they are placed first.
+WHOLE = {
+    "BSD-2-Clause": _CLAUSES + _BSD_END,
+    "BSD-3-Clause": _CLAUSES + _THIRD + _BSD_END,
+    "ISC-full": TEMPLATES["ISC"] + _ISC_END,
+    "0BSD": TEMPLATES["ISC"].split(", provided")[0] + "." + _ISC_END,
+    "MIT-full": TEMPLATES["MIT-text"] + (
+        ' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    "Unlicense-full": TEMPLATES["Unlicense"] + (
+        " Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means."),
+}
 _WORD = re.compile(rb"[a-z0-9]+")
 
 
@@ -60,9 +136,10 @@ def normalised(text: str) -> list[bytes]:
 
 
 class Scanner:
-    def __init__(self, templates: Mapping[str, str], least: float):
+    def __init__(self, templates: Mapping[str, str], least: float, whole: Mapping[str, str] | None = None):
         self.least = least
-        self.sets = {name: frozenset(zip(w, w[1:])) for name, w in ((n, normalised(t)) for n, t in templates.items())}
+        self.whole = frozenset(whole or ())
+        self.sets = {name: frozenset(zip(w, w[1:])) for name, w in ((n, normalised(t)) for n, t in {**templates, **(whole or {})}.items())}
         self.owners = defaultdict(list)
         for name, own in sorted(self.sets.items()):
             for pair in own:
@@ -99,6 +176,7 @@ class Scanner:
             for name in self.owners.get(pair, ()):
                 places[name].append(i)
         found = sorted(w for name, own in places.items() for w in self._windows(pairs, own, name))
+        found.sort(key=lambda w: w[3] not in self.whole)
         taken, out = set(), []
         for dice, first, length, name in found:
             span = range(first, first - length + 2)
@@ -108,9 +186,15 @@ class Scanner:
         return sorted(out, key=lambda x: x[2])
 
 
-def find(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
+def templates_of(rows: DataFrame) -> dict[str, str]:
+    """Templates from a user's small table (license, text), for ``find``; rows with a null are left out, of a repeated name the least text counts."""
+    named = rows.where("license is not null and text is not null").groupBy("license").agg(F.min("text").alias("text"))
+    return {r["license"]: r["text"] for r in named.collect()}
+
+
+def find(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = LEAST, whole: Mapping[str, str] = WHOLE) -> DataFrame:
     """One row per finding: doc_id, license, dice, start_word, end_word."""
-    scanner = Scanner(templates, least)
+    scanner = Scanner(templates, least, whole)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

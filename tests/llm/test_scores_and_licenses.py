@@ -47,6 +47,26 @@ def test_licenses_match_brute_force():
         assert scanner.scan(text) == every_window(text, licenses.TEMPLATES, licenses.LEAST)
 
 
+def test_neighbouring_licenses_keep_their_names():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.LEAST, licenses.WHOLE)
+    names = lambda text: [f[0] for f in scanner.scan("some words " + text + " more words")]
+    assert names("This work is licensed under the GNU General Public License, version 2.") == ["GPL-2.0"]
+    assert names("This work is licensed under the GNU General Public License, version 3.") == ["GPL-3.0"]
+    assert names("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.") == ["CC-BY-SA-4.0"]
+    for name, text in (licenses.TEMPLATES | licenses.WHOLE).items():
+        assert names(text) == [name]
+    for name, text in licenses.WHOLE.items():
+        words = text.split()
+        words[30] = words[-20] = "changed"
+        assert names(" ".join(words)) == [name]
+
+
+def test_user_templates(spark):
+    own = licenses.templates_of(spark.createDataFrame([("Own", "use it as you like"), (None, "x y"), ("Void", None)], "license string, text string"))
+    docs = spark.createDataFrame([(1, "please use it as you like now")], "doc_id long, text string")
+    assert own == {"Own": "use it as you like"} and [tuple(r) for r in licenses.find(docs, own).collect()] == [(1, "Own", 1.0, 1, 6)]
+
+
 def test_license_query(spark, tmp_path):
     texts = [None, "", "x " * 50 + "Licensed under the\nAPACHE license version 2.0 " + "y " * 50, "Released under the MIT License." * 3, "clean words only", "All rights reserved"]
     folder = write(tmp_path, documents={"doc_id": pa.array([1, 2, 3, 4, 5, None], pa.int64()), "text": pa.array(texts, pa.string()), "license": ["x"] * 6})
