@@ -9,6 +9,11 @@ lost to the short cut. A cluster is a component of the links; its first place (b
 Neighbouring copies of one text are joined to a passage, across a short gap (an altered or very short piece), and
 passages of ``min_words`` or more are removed.
 
+A repeated run also holds parts of pieces at its ends, and a changed word spoils a piece. So the ANCHOR words behind every
+cut are a second key, matched exactly: each place of a repeated anchor is extended word by word into the words around it,
+as far as they equal those around the anchor's first place, and runs of MIN_WORDS or more are copies too. An anchor is
+compared with its first place only: a run is missed if the first places of all its anchors belong to other, shorter runs.
+
 Null and short texts have no pieces. Rows equal in doc_id and text are one document. A null doc_id comes first.
 Only doc_id and text are read.
 """
@@ -32,7 +37,9 @@ NEIGHBOURS = 5  # words on either side among which a cut is the least: pieces ha
 SHINGLE = 5
 BANDS, BAND_ROWS = 4, 2
 SIMILAR = 0.8
-MIN_WORDS = 25  # of a passage in whole pieces; a repeated passage of 50 words holds as much
+MIN_WORDS = 25  # of a passage in whole pieces and exact runs
+ANCHOR = 8  # words behind a cut that have to be equal
+MARGIN = 32  # words on either side of an anchor's cut that are compared; longer runs hold further anchors
 GAP = 14  # words of unrepeated text inside a passage
 SLOTS = 1 << 24  # bounds the broadcast of slots of repeated pieces to 2 MB
 RUN = 1 << 18
@@ -167,6 +174,104 @@ def places_of(docs: DataFrame, slots: np.ndarray) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(make, f"doc_id {kind}, body long, first long, last long, name long, set binary")
 
 
+def _slots(named: DataFrame) -> np.ndarray:
+    """Which of SLOTS slots hold a name."""
+    asked = np.zeros(SLOTS // 64, np.int64)
+    for r in named.select(F.floor(F.expr(f"pmod(name, {SLOTS})") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, cast(pmod(name, 64) as int))").alias("bit")).groupBy(
+            "w").agg(F.bit_or("bit").alias("bits")).collect():  # at most SLOTS / 64 rows
+        asked[r["w"]] = r["bits"]
+    return np.unpackbits(asked.view(np.uint8), bitorder="little").view(bool)
+
+
+def _anchors(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of all cuts with ANCHOR words of their text behind them, the text of each, and the hashes of those words."""
+    cuts = cut_points(words, bounds)[:-1]
+    row = np.searchsorted(bounds, cuts, side="right") - 1
+    room = cuts + ANCHOR <= bounds[row + 1]
+    cuts, row = cuts[room], row[room]
+    return cuts, row, shingle_hashes(words, ANCHOR)[cuts] if len(cuts) else np.zeros(0, np.uint64)
+
+
+def anchor_names(docs: DataFrame) -> DataFrame:
+    """(name, n) of the anchors of every run of texts."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, bounds = word_hashes(_texts(batch))
+            for a, b in _runs(words, bounds):
+                names, n = np.unique(_anchors(words[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a])[2], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n, pa.int64())], names=["name", "n"])
+
+    return docs.select("text").mapInArrow(make, "name long, n long")
+
+
+def anchor_places(docs: DataFrame, slots: np.ndarray) -> DataFrame:
+    """doc_id, body, at, name, and the words around (32 bits each) of anchors whose name falls in an asked slot."""
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(slots))
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = np.unpackbits(shared.value).view(bool)
+        for batch in batches:
+            texts = _texts(batch)
+            words, bounds = word_hashes(texts)
+            for a, b in _runs(words, bounds):
+                own, edges = words[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a]
+                cuts, row, names = _anchors(own, edges)
+                chosen = asked[(names % np.uint64(SLOTS)).astype(np.int64)]
+                cuts, row, names = cuts[chosen], row[chosen], names[chosen]
+                if not len(cuts):
+                    continue
+                short = (own >> np.uint64(32)).astype(np.uint32)
+                around = np.ascontiguousarray(short[np.clip(cuts[:, None] + np.arange(-MARGIN, MARGIN), 0, len(own) - 1)])
+                offsets = (np.arange(len(cuts) + 1) * 8 * MARGIN).astype(np.int32)
+                bodies = {r: xxhash.xxh64_intdigest(texts[r + a]) - (1 << 63) for r in np.unique(row).tolist()}
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).take(pa.array(row + a, pa.int64())), pa.array([bodies[r] for r in row.tolist()], pa.int64()),
+                    pa.array(cuts - edges[row], pa.int64()), pa.array(names.view(np.int64)),
+                    pa.array(np.minimum(edges[row + 1] - cuts, MARGIN), pa.int64()),
+                    pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(around)])],
+                    names=["doc_id", "body", "at", "name", "room", "words"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(make, f"doc_id {kind}, body long, at long, name long, room long, words binary")
+
+
+def exact_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The columns of ``copies`` for runs of ``min_words`` or more that equal the words around the first place of an anchor."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, at2, room, room2 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("at", "at2", "room", "room2"))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, 2 * MARGIN) for c in ("words", "words2"))
+            apart = np.ones((len(x), 2 * MARGIN + 2), bool)  # a difference stands behind the last word on both sides
+            apart[:, 1:-1] = x != y
+            before = np.minimum(np.argmax(apart[:, MARGIN::-1], axis=1), np.minimum(at, at2))
+            after = np.minimum(np.argmax(apart[:, MARGIN + 1:], axis=1), np.minimum(room, room2))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("body"), pa.array(at - before, pa.int64()), pa.array(at + after, pa.int64()),
+                batch.column("name"), batch.column("kept_doc_id")], names=["doc_id", "body", "first", "last", "cluster", "kept_doc_id"]).filter(
+                    pa.array(before + after >= min_words))
+
+    names = stored(anchor_names(docs).groupBy("name").agg(F.sum("n").alias("n")).where("n > 1").select("name"), "anchors")
+    release(spark)
+    places = stored(anchor_places(docs, _slots(names)).join(names, "name"), "anchor-places")
+    release(spark)
+    # Stored, so that the join shuffles the places anew and Spark can split a common anchor.
+    first = stored(places.groupBy("name").agg(F.min(F.struct("doc_id", "body", "at", "room", "words")).alias("kept")), "anchor-firsts")
+    same = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("body") == F.col("kept.body")) & (F.col("at") == F.col("kept.at"))
+    pairs = places.join(first, "name").where(~same).select(
+        "doc_id", "body", "at", "name", "room", "words", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.at").alias("at2"),
+        F.col("kept.room").alias("room2"), F.col("kept.words").alias("words2"))
+    found = stored(pairs.mapInArrow(extend, f"doc_id {kind}, body long, first long, last long, cluster long, kept_doc_id {kind}"), "exact-runs")
+    discard(names, places, first)
+    release(spark)
+    return found
+
+
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,11 +311,7 @@ def copies(docs: DataFrame) -> DataFrame:
     buckets = rows.join(met.where(f"low <> high or pmod(key, {BANDS}) = 0").select("key", mixed), "key").distinct()
     found = stored(buckets, "band-buckets")
     release(spark)
-    asked = np.zeros(SLOTS // 64, np.int64)
-    for r in found.select(F.floor(F.expr(f"pmod(name, {SLOTS})") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, cast(pmod(name, 64) as int))").alias("bit")).groupBy(
-            "w").agg(F.bit_or("bit").alias("bits")).collect():  # at most SLOTS / 64 rows
-        asked[r["w"]] = r["bits"]
-    asked = np.unpackbits(asked.view(np.uint8), bitorder="little").view(bool)
+    asked = _slots(found)
     names = found.groupBy("name").agg(F.max("mixed").alias("mixed"))
     places = places_of(docs, asked).join(names, "name").withColumn("set", F.when(F.col("mixed"), F.col("set"))).drop("mixed")
     places = stored(places, "places")
@@ -236,14 +337,17 @@ def copies(docs: DataFrame) -> DataFrame:
 
 def passages(found: DataFrame, min_words: int = MIN_WORDS, gap: int = GAP) -> DataFrame:
     """One row per passage to remove: doc_id, start_word, end_word, n_words (in copies), kept_doc_ids, cluster."""
-    inside = W.partitionBy("doc_id", "body").orderBy("first")
-    begins = F.coalesce(F.col("first") - F.lag("last").over(inside) > gap, F.lit(True))
-    runs = found.withColumn("begins", begins.cast("int")).withColumn("run", F.sum("begins").over(inside.rowsBetween(W.unboundedPreceding, 0)))
-    out = runs.groupBy("doc_id", "body", "run").agg(
-        F.min("first").alias("start_word"), F.max("last").alias("end_word"), F.sum(F.col("last") - F.col("first")).cast("long").alias("n_words"),
+    inside = W.partitionBy("doc_id", "body").orderBy("first", "last")
+    reach = found.withColumn("reach", F.max("last").over(inside.rowsBetween(W.unboundedPreceding, -1)))
+    begins = F.coalesce(F.col("first") - F.col("reach") > gap, F.lit(True))
+    fresh = F.greatest(F.col("last") - F.greatest("first", F.coalesce("reach", "first")), F.lit(0))
+    runs = reach.withColumn("begins", begins.cast("int")).withColumn("run", F.sum("begins").over(inside.rowsBetween(W.unboundedPreceding, 0)))
+    out = runs.withColumn("fresh", fresh).groupBy("doc_id", "body", "run").agg(
+        F.min("first").alias("start_word"), F.max("last").alias("end_word"), F.sum("fresh").cast("long").alias("n_words"),
         F.sort_array(F.collect_set("kept_doc_id")).alias("kept_doc_ids"), F.min("cluster").alias("cluster"))
     return out.where(F.col("n_words") >= min_words).drop("body", "run")
 
 
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return passages(copies(table(spark, folder, "documents")))
+    docs = table(spark, folder, "documents")
+    return passages(copies(docs).unionByName(exact_runs(docs)))

@@ -86,3 +86,36 @@ def test_nulls_repeats_and_empty(spark):
     assert sd.copies(spark.createDataFrame([(1, long), (1, long), (None, None)], schema)).collect() == []
     got = sd.passages(sd.copies(spark.createDataFrame([(None, long), (1, long), (2, "x y"), (1, long)], schema))).collect()
     assert [(r.doc_id, r.kept_doc_ids) for r in got] in ([(1, [])], [(1, [None])])
+
+
+def test_every_exact_run_and_edited_paragraph_is_found(spark, tmp_path):
+    rng = random.Random(21)
+    words = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    rows, spans, edited = [], {}, []
+    for i in range(800):
+        size = rng.choice([50, 51, 55, 60])
+        run, at = words(size), rng.randint(20, 60)
+        rows += [(i, " ".join(words(rng.randint(20, 60)) + run + words(30))), (10_000 + i, " ".join(words(at) + run + words(30)))]
+        spans[10_000 + i] = (at, at + size)
+    for i in range(20_000, 20_300):
+        run = words(60)
+        changed = run[:30] + ["changed"] + run[31:]
+        rows += [(i, " ".join(words(40) + run + words(40))), (10_000 + i, " ".join(words(40) + changed + words(40)))]
+        edited.append(10_000 + i)
+    rows += [(50_000 + i, " ".join(words(150))) for i in range(40)]
+    folder = write(tmp_path, documents={"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    found = {r.doc_id: (r.start_word, r.end_word, r.n_words, r.kept_doc_ids) for r in sd.op3_substring_dedup(spark, folder).collect()}
+    for d, (a, b) in spans.items():  # a piece of similarity 0.8 may reach some words beyond the run
+        start, end, n, kept = found[d]
+        assert a - 4 <= start <= a and b <= end <= b + 4 and n == end - start and kept == [d - 10_000]
+    hit = sum(d in found for d in edited)
+    print("edited paragraphs found", hit, "of", len(edited))
+    assert hit >= 0.97 * len(edited) and set(found) <= {*spans, *edited}
+
+
+def test_runs_end_with_their_texts(spark):
+    whole = " ".join(f"v{i}" for i in range(30))
+    rows = [(1, whole), (2, whole), (3, "a b c " + whole), (4, " ".join(whole.split()[:20]))]
+    got = {(r.doc_id, r["first"], r["last"]) for r in sd.exact_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (2, 0, 30) in got and got <= {(2, 0, 30), (3, 3, 33)}
+    assert sd.exact_runs(spark.createDataFrame([], "doc_id long, text string")).collect() == []
