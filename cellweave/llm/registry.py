@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from cellweave.llm import (
-    decontaminate, jaccard_join, licenses, line_dedup, packing, quality, secrets, substring_dedup, toxicity, warc)
+    collocations, decontaminate, jaccard_join, licenses, line_dedup, packing, periodic_runs, quality, secrets, substring_dedup,
+    token_counts, toxicity, warc)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -16,6 +17,9 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_warc": warc.op10_warc,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_token_counts": token_counts.op12_token_counts,
+    "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
 
 ORACLES = {
@@ -24,4 +28,5 @@ ORACLES = {
     "op5_quality_rules": quality.OP5_SQL,
     "op6_secret_scan": secrets.OP6_SQL,
     "op10_warc": warc.OP10_SQL,
+    "op13_phrase_collocations": collocations.OP13_SQL,
 }
