@@ -1,10 +1,10 @@
 """Negative-binomial models per gene: dispersions, likelihood-ratio tests, shrinkage, markers.
 
-A gene's rows are not gathered cell by cell. The log-likelihood depends on a cell only through
-its design row and its size factor, and size factors are grouped into bins of 1/1024 octave
-represented by their mean (relative error of a fitted mean below 4e-4 per cell and second order
-after averaging; exact while a bin holds one value). So each gene becomes a bounded number of
-sums, made with map-side combining, and a fit costs the same for a thousand and a billion cells.
+A likelihood depends on a cell only through its design row, size factor and count, so every gene is first
+reduced, with map-side combining, to the distinct combinations of the three and how many cells hold each; cells
+without a count are known from the cells' own table. Fits are exact for any number of cells. One task holds the combinations
+of one gene and the distinct (design row, size factor) pairs of all cells, 24 bytes each. Where size factors are
+too many for that, ``prepare(bins_per_octave=...)`` joins near ones, for every gene and every size of data alike.
 """
 
 from __future__ import annotations
@@ -16,18 +16,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from cellweave.context import scalar, settle, split_count
 from cellweave.functions import nb
 from cellweave.functions.columns import lgamma
-from cellweave.functions.tails import chi2_tail, trigamma
-from cellweave.operators.ordering import quantiles
+from cellweave.functions.tails import chi2_tail, f_quantile, trigamma
+from cellweave.operators.ordering import quantiles, value_ranks
 from cellweave.operators.ranking import bh_adjust
 from cellweave.operators.summaries import group_stats, library_size
 
-BINS_PER_OCTAVE = 1024
 MAX_DESIGN_ROWS = 1000
-MAX_BINS = 200_000
+CUTOFFS = 50  # mean counts tried by independent filtering
 
 
 @dataclass
@@ -54,47 +54,30 @@ def make_design(cells: DataFrame, factors: list[str]) -> Design:
     return Design(factors, rows, names, np.column_stack(columns))
 
 
-def _numbered_cells(cells: DataFrame, design: Design) -> DataFrame:
+def _numbered_cells(cells: DataFrame, design: Design, bins_per_octave: int | None = None) -> DataFrame:
     """``(cell, row, log_size, bin)``; the design rows are few by construction."""
     spark = cells.sparkSession
     kinds = [cells.schema[f].dataType.simpleString() for f in design.factors]
     schema = ", ".join(f"`{f}` {k}" for f, k in zip(design.factors, kinds)) + ", row int"
     table = spark.createDataFrame([(*r, i) for i, r in enumerate(design.rows)], schema)
-    return cells.join(F.broadcast(table), design.factors).select(
-        "cell", "row", "size_factor", F.log("size_factor").alias("log_size"),
-        F.floor(F.log2("size_factor") * BINS_PER_OCTAVE).cast("int").alias("bin"))
+    numbered = cells.join(F.broadcast(table), design.factors).select("cell", "row", "size_factor", F.log("size_factor").alias("log_size"))
+    if bins_per_octave is None:
+        return numbered
+    near = F.floor(F.log2("size_factor") * bins_per_octave)
+    return numbered.withColumn("log_size", F.avg("log_size").over(W.partitionBy("row", near)))
 
 
 def _collect_bins(numbered: DataFrame) -> nb.CellBins:
-    grouped = numbered.groupBy("row", "bin").agg(F.avg("log_size").alias("log_size"), F.count("*").alias("cells"))
-    found = grouped.select("row", "log_size", "cells").limit(MAX_BINS + 1).toPandas()
-    if len(found) > MAX_BINS:
-        raise ValueError("size factors spread over too many bins for this design")
-    found = found.sort_values(["row", "log_size"])
+    """Distinct design rows and size factors; every fit needs them all."""
+    found = numbered.groupBy("row", "log_size").agg(F.count("*").alias("cells")).toPandas().sort_values(["row", "log_size"])
     return nb.CellBins(found["row"].to_numpy(), found["log_size"].to_numpy(), found["cells"].to_numpy(dtype=float))
 
 
 def gene_sums(counts: DataFrame, numbered: DataFrame) -> DataFrame:
-    """Sums per ``(gene, design row, size bin)`` and numbers of cells per ``(gene, count)``.
-
-    Counts above 4096 are gathered into bins of 1/1024 octave, so a gene has a bounded number of
-    rows whatever the number of cells.
-    """
+    """How many cells of a gene hold a count: ``(gene, row, log_size, count, cells)``."""
     seen = counts.filter(F.col("count") > 0).join(numbered, "cell")
-    y = F.col("count").cast("double")
-    by_bin = seen.groupBy("gene", "row", "bin").agg(
-        F.sum(y).alias("total"),
-        (F.sum(y * F.col("log_size")) / F.sum(y)).alias("log_size"),
-        F.sum(y / F.col("size_factor")).alias("scaled"),
-        F.sum(y * y / F.col("size_factor") / F.col("size_factor")).alias("scaled_squares"),
-    ).select("gene", F.lit("bin").alias("kind"), "row", "log_size", "total", "scaled", "scaled_squares")
-    key = F.when(F.col("count") <= 4096, y).otherwise(
-        4096.0 + F.floor(F.log2(y) * BINS_PER_OCTAVE) - 12 * BINS_PER_OCTAVE)
-    by_count = seen.groupBy("gene", key.alias("_key")).agg(
-        F.avg(y).alias("log_size"), F.count("*").cast("double").alias("total")
-    ).select("gene", F.lit("count").alias("kind"), F.lit(-1).alias("row"), "log_size", "total",
-             F.lit(0.0).alias("scaled"), F.lit(0.0).alias("scaled_squares"))
-    return by_bin.unionByName(by_count)
+    return seen.groupBy("gene", "row", "log_size", F.col("count").cast("double").alias("count")).agg(
+        F.count("*").cast("double").alias("cells"))
 
 
 def _by_gene(df: DataFrame):
@@ -104,10 +87,13 @@ def _by_gene(df: DataFrame):
 
 
 def _read_gene(pdf: pd.DataFrame) -> tuple[nb.GeneSums, np.ndarray, np.ndarray, float, float]:
-    bins = pdf[pdf["kind"] == "bin"].sort_values(["row", "log_size"])
-    hist = pdf[pdf["kind"] == "count"].sort_values("log_size")
-    gene = nb.GeneSums(bins["row"].to_numpy(), bins["log_size"].to_numpy(), bins["total"].to_numpy())
-    return gene, hist["log_size"].to_numpy(), hist["total"].to_numpy(), bins["scaled"].sum(), bins["scaled_squares"].sum()
+    """The gene's sums, its distinct counts with their cells, and sums of scaled counts and their squares."""
+    pdf = pdf.sort_values(["row", "log_size", "count"])
+    count, cells = pdf["count"].to_numpy(), pdf["cells"].to_numpy()
+    gene = nb.GeneSums(pdf["row"].to_numpy(), pdf["log_size"].to_numpy(), count * cells)
+    values, at = np.unique(count, return_inverse=True)
+    scaled = count / np.exp(gene.log_size)
+    return gene, values, np.bincount(at, weights=cells), float(cells @ scaled), float(cells @ scaled**2)
 
 
 def _moment_dispersion(scaled: float, squares: float, n: float, inverse_size: float) -> float:
@@ -127,10 +113,14 @@ class Prepared:
     gene_type: str
 
 
-def prepare(counts: DataFrame, cells: DataFrame, factors: list[str]) -> Prepared:
-    """``cells`` is ``(cell, size_factor, factors...)``; one pass over the counts."""
+def prepare(counts: DataFrame, cells: DataFrame, factors: list[str], bins_per_octave: int | None = None) -> Prepared:
+    """``cells`` is ``(cell, size_factor, factors...)``; one pass over the counts.
+
+    Size factors are taken as they are; ``bins_per_octave`` replaces those of a bin by their mean, which bounds
+    what a task holds (1024 bins an octave change a cell's expected count by less than 0.04 percent).
+    """
     design = make_design(cells, factors)
-    numbered = settle(_numbered_cells(cells, design))
+    numbered = settle(_numbered_cells(cells, design, bins_per_octave))
     return Prepared(design, _collect_bins(numbered), settle(gene_sums(counts, numbered)), numbered,
                     counts.schema["gene"].dataType.simpleString())
 
@@ -145,14 +135,14 @@ def gene_dispersions(ready: Prepared) -> DataFrame:
         gene, values, times, scaled, squares = _read_gene(pdf)
         alpha = _moment_dispersion(scaled, squares, n, inverse_size)
         for _ in range(2):
-            beta, _, _ = nb.fit(x, gene, bins, alpha)
+            beta, _, _, _ = nb.fit(x, gene, bins, alpha)
             alpha = nb.best_dispersion(x, np.maximum(x @ beta, -30), gene, bins, values, times)
         return pd.DataFrame({"gene": [pdf["gene"].iloc[0]], "mean": [scaled / n], "dispersion": [alpha]})
 
     return _by_gene(ready.sums).applyInPandas(estimate, f"gene {ready.gene_type}, mean double, dispersion double")
 
 
-def dispersion_trend(estimates: DataFrame, rounds: int = 12) -> tuple[float, float]:
+def dispersion_trend(estimates: DataFrame, rounds: int = 200) -> tuple[float, float]:
     """``(a0, a1)`` of dispersion = a1 / mean + a0 by gamma regression with identity link.
 
     Each round is one aggregate of five sums; genes far from the current curve are left out.
@@ -180,6 +170,8 @@ def dispersion_trend(estimates: DataFrame, rounds: int = 12) -> tuple[float, flo
         a0, a1 = new0, new1
         if close:
             break
+    else:
+        raise ArithmeticError(f"the dispersion trend has not converged in {rounds} rounds")
     return a0, a1
 
 
@@ -207,7 +199,7 @@ def deseq_dispersion(ready: Prepared, estimates: DataFrame | None = None) -> Dat
         gene, values, times, _, _ = _read_gene(pdf)
         mean, own = float(pdf["mean"].iloc[0]), float(pdf["dispersion"].iloc[0])
         curve = a1 / mean + a0
-        beta, _, _ = nb.fit(x, gene, bins, max(own, 1e-8))
+        beta, _, _, _ = nb.fit(x, gene, bins, max(own, 1e-8))
         shrunk = nb.best_dispersion(x, np.maximum(x @ beta, -30), gene, bins, values, times, (math.log(curve), prior))
         if math.log(own) > math.log(curve) + 2 * math.sqrt(observed):
             shrunk = own
@@ -218,15 +210,16 @@ def deseq_dispersion(ready: Prepared, estimates: DataFrame | None = None) -> Dat
         shrink, f"gene {ready.gene_type}, mean double, gene_wise double, trend double, map double")
 
 
-_FIT_SCHEMA = ("baseMean double, log2FoldChange double, lfcSE double, stat double, pvalue double, "
-               "dispersion double, eta array<double>, leverage array<double>")
+_FIT_SCHEMA = ("baseMean double, log2FoldChange double, lfcSE double, stat double, pvalue double, dispersion double, "
+               "eta array<double>, leverage array<double>, converged boolean, max_cooks double, cells_above long")
 
 
 def likelihood_ratio(ready: Prepared, dispersions: DataFrame, drop: list[int], report: int = -1) -> DataFrame:
     """Full design against the design without the columns ``drop``; ``report`` is the coefficient shown.
 
     ``dispersions`` is ``(gene, dispersion)``. The result also carries each design row's fitted
-    log rate and leverage factor for later use.
+    log rate and leverage factor for later use, whether both fits converged, the largest Cook's distance among
+    cells whose design row has at least three cells (null if none has), and how many cells exceed that cell's count.
     """
     x, bins = ready.design.matrix, ready.bins
     columns = x.shape[1]
@@ -237,14 +230,16 @@ def likelihood_ratio(ready: Prepared, dispersions: DataFrame, drop: list[int], r
     joined = ready.sums.join(dispersions.select("gene", "dispersion"), "gene")
 
     def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        gene, _, _, scaled, _ = _read_gene(pdf)
+        gene, values, times, scaled, _ = _read_gene(pdf)
         alpha = max(float(pdf["dispersion"].iloc[0]), nb.MIN_DISPERSION)
-        beta, inverse, full = nb.fit(x, gene, bins, alpha)
+        beta, inverse, full, converged = nb.fit(x, gene, bins, alpha)
         if reduced.shape[1]:
-            _, _, small = nb.fit(reduced, gene, bins, alpha)
+            _, _, small, also = nb.fit(reduced, gene, bins, alpha)
         else:
-            small = nb.log_likelihood(np.zeros(len(x)), gene, bins, alpha)
+            small, also = nb.log_likelihood(np.zeros(len(x)), gene, bins, alpha), True
         stat = max(2 * (full - small), 0.0)
+        eta, leverage = np.maximum(x @ beta, -30), np.einsum("ij,jk,ik->i", x, inverse, x)
+        outlier = nb.most_influential(pdf, bins, eta, leverage, columns, alpha)
         return pd.DataFrame({
             "gene": [pdf["gene"].iloc[0]],
             "baseMean": [scaled / n],
@@ -253,26 +248,77 @@ def likelihood_ratio(ready: Prepared, dispersions: DataFrame, drop: list[int], r
             "stat": [stat],
             "pvalue": [chi2_tail(stat, columns - len(kept))],
             "dispersion": [alpha],
-            "eta": [np.maximum(x @ beta, -30)],
-            "leverage": [np.einsum("ij,jk,ik->i", x, inverse, x)],
+            "eta": [eta],
+            "leverage": [leverage],
+            "converged": [converged and also],
+            "max_cooks": [outlier[0]],
+            "cells_above": [int(times[values > outlier[1]].sum())],
         })
 
     return _by_gene(joined).applyInPandas(test, f"gene {ready.gene_type}, {_FIT_SCHEMA}")
 
 
 def nb_lrt(counts: DataFrame, cells: DataFrame, factors: list[str], ready: Prepared | None = None,
-           dispersions: DataFrame | None = None) -> DataFrame:
+           dispersions: DataFrame | None = None, alpha: float = 0.1, outliers: bool = True, filtering: bool = True) -> DataFrame:
     """Likelihood-ratio test of ``~ factors`` against ``~ 1`` with shrunken dispersions.
 
-    Rows ``(gene, baseMean, log2FoldChange, lfcSE, stat, pvalue, padj, dispersion, eta, leverage)``;
-    the fold change is that of the last coefficient.
+    Rows ``(gene, baseMean, log2FoldChange, lfcSE, stat, pvalue, padj, dispersion, ...)``; the fold change is that of the
+    last coefficient. Genes with an outlying cell lose their p value (``outliers``), genes with too low a mean
+    their adjusted p value (``filtering`` for discoveries at ``alpha``).
     """
     ready = ready or prepare(counts, cells, factors)
     if dispersions is None:
         dispersions = deseq_dispersion(ready).select("gene", F.col("map").alias("dispersion"))
     columns = ready.design.matrix.shape[1]
     tested = likelihood_ratio(ready, dispersions, drop=list(range(1, columns)))
-    return bh_adjust(tested, "pvalue", "padj")
+    if outliers:
+        tested = without_outliers(tested, ready)
+    return independent_filter(tested, alpha) if filtering else bh_adjust(tested, "pvalue", "padj")
+
+
+def cooks_cutoff(ready: Prepared, level: float = 0.99) -> float:
+    """The ``level`` quantile of F with the number of coefficients and of the remaining cells; none without remaining cells."""
+    columns, n = ready.design.matrix.shape[1], ready.bins.cells.sum()
+    return f_quantile(level, columns, n - columns) if n > columns else math.inf
+
+
+def without_outliers(tested: DataFrame, ready: Prepared, level: float = 0.99) -> DataFrame:
+    """Null p value where the largest Cook's distance passes ``cooks_cutoff``.
+
+    With a single factor of two levels a gene keeps it if at least three cells have larger counts than that cell.
+    """
+    flagged = F.coalesce(F.col("max_cooks") > cooks_cutoff(ready, level), F.lit(False))
+    if len(ready.design.factors) == 1 and len(ready.design.rows) == 2:
+        flagged = flagged & (F.col("cells_above") < 3)
+    return tested.withColumn("pvalue", F.when(~flagged, F.col("pvalue")))
+
+
+def independent_filter(tested: DataFrame, alpha: float = 0.1, mean: str = "baseMean", p: str = "pvalue", out: str = "padj") -> DataFrame:
+    """Benjamini-Hochberg among genes whose mean reaches the cutoff with most discoveries at ``alpha``; others get null.
+
+    ``CUTOFFS`` cutoffs are tried, quantiles of the mean at even steps from the share of zero means to 0.95 (to 1 if that
+    share reaches 0.95). A gene takes part in every cutoff it reaches; p values are ranked inside all cutoffs in one
+    pass, and the discoveries of a cutoff are the rank of the largest p value whose p * m / rank lies below ``alpha``. Of
+    equal cutoffs the lowest wins. ``threshold`` is the chosen cutoff.
+    """
+    stable = settle(tested)
+    zero = stable.agg(F.avg((F.col(mean) == 0).cast("double")).alias("z")).first()["z"]
+    if zero is None:
+        return stable.withColumn(out, F.lit(None).cast("double")).withColumn("threshold", F.lit(None).cast("double"))
+    last = 0.95 if zero < 0.95 else 1.0
+    steps = [zero + (last - zero) * k / (CUTOFFS - 1) for k in range(CUTOFFS)]
+    names = [f"c{k}" for k in range(CUTOFFS)]
+    cuts = list(quantiles(stable.select(mean), mean, steps, names, settled=True).first())
+    # Cutoffs ascend, so a gene takes part in the first ones: up to the number of cutoffs not above its mean.
+    reached = sum((F.when(F.col(mean) >= c, 1).otherwise(0) for c in cuts), F.lit(0))
+    parts = stable.filter(F.col(p).isNotNull()).select(p, F.explode(F.sequence(F.lit(1), reached)).alias("at"))
+    ranked = value_ranks(parts, p, ["at"], few_values=False)
+    rank = F.col("before") + F.col("n")
+    found = ranked.groupBy("at").agg(F.max(F.when(F.col(p) * F.col("total") / rank < alpha, rank).otherwise(0)).alias("hits"))
+    best = found.orderBy(F.desc("hits"), "at").first()
+    threshold = cuts[best["at"] - 1 if best else 0]
+    passed = bh_adjust(stable.filter(F.col(mean) >= threshold).select("gene", p), p, out).select("gene", out)
+    return stable.join(passed, "gene", "left").withColumn("threshold", F.lit(float(threshold)))
 
 
 def glm_lrt(counts: DataFrame, cells: DataFrame, group: str, coef: int = 1, ready: Prepared | None = None,
@@ -345,7 +391,7 @@ def _top_of(curve, low: float, high: float, points: int):
     return F.pow(F.lit(2.0), F.lit(low) + (high - low) / (points - 1) * (at + shift))
 
 
-def shrink_lfc(ready: Prepared, fitted: DataFrame, coefficient: int = 1, rounds: int = 20) -> DataFrame:
+def shrink_lfc(ready: Prepared, fitted: DataFrame, coefficient: int = 1, rounds: int = 500) -> DataFrame:
     """Fold changes of one coefficient under a Cauchy prior whose scale comes from all genes.
 
     ``fitted`` has that coefficient's ``log2FoldChange`` and ``lfcSE`` and the ``dispersion``. The
@@ -367,12 +413,14 @@ def shrink_lfc(ready: Prepared, fitted: DataFrame, coefficient: int = 1, rounds:
         prior = new
         if close:
             break
+    else:
+        raise ArithmeticError(f"the prior of fold changes has not converged in {rounds} rounds")
     scale = min(math.sqrt(prior), 1.0)
 
     def refit(pdf: pd.DataFrame) -> pd.DataFrame:
         gene, _, _, scaled, _ = _read_gene(pdf)
         alpha = float(pdf["dispersion"].iloc[0])
-        beta, inverse, _ = nb.fit(x, gene, bins, alpha, prior_scale=scale, coefficient=coefficient)
+        beta, inverse, _, _ = nb.fit(x, gene, bins, alpha, prior_scale=scale, coefficient=coefficient)
         b, s2 = beta[coefficient], scale * scale
         information = 1.0 / max(inverse[coefficient, coefficient], 1e-300) + 2 * (s2 - b * b) / (s2 + b * b) ** 2
         se = 1.0 / math.sqrt(information) if information > 0 else math.sqrt(inverse[coefficient, coefficient])
@@ -420,10 +468,10 @@ def find_markers(counts: DataFrame, cells: DataFrame, factor: str) -> DataFrame:
         for level in range(len(levels)):
             side = nb.CellBins((bins.row == level).astype(int), bins.log_size, bins.cells)
             part = nb.GeneSums((gene.row == level).astype(int), gene.log_size, gene.total)
-            beta, _, full = nb.fit(two, part, side, alpha)
+            beta, _, full, _ = nb.fit(two, part, side, alpha)
             own = nb.best_dispersion(two, np.maximum(two @ beta, -30), part, side, values, times)
-            beta, _, full = nb.fit(two, part, side, own)
-            _, _, small = nb.fit(one, part, side, own)
+            beta, _, full, _ = nb.fit(two, part, side, own)
+            _, _, small, _ = nb.fit(one, part, side, own)
             stat = max(2 * (full - small), 0.0)
             rows.append((pdf["gene"].iloc[0], level, beta[1] / math.log(2), stat, chi2_tail(stat, 1)))
         return pd.DataFrame(rows, columns=["gene", "at", "log2FoldChange", "stat", "pvalue"])
@@ -442,6 +490,16 @@ def ma_table(results: DataFrame, alpha: float = 0.1) -> DataFrame:
     return results.select("gene", "baseMean", "log2FoldChange", called.alias("significant"))
 
 
+def volcano_table(results: DataFrame, p: str = "padj", alpha: float = 0.1, fold: float = 1.0) -> DataFrame:
+    """Fold change against -log10 of the p value, with ``call`` up, down or none: below ``alpha`` and beyond ``fold``.
+
+    Genes without p value are left out; a p value that underflows to 0 is drawn at the smallest double.
+    """
+    change, value = F.col("log2FoldChange"), F.greatest(F.col(p), F.lit(2.2250738585072014e-308))
+    call = F.when((F.col(p) < alpha) & (change > fold), "up").when((F.col(p) < alpha) & (change < -fold), "down").otherwise("none")
+    return results.filter(F.col(p).isNotNull()).select("gene", change, (-F.log10(value)).alias("strength"), call.alias("call"))
+
+
 def smear_table(counts: DataFrame, results: DataFrame, max_p: float = 0.001) -> DataFrame:
     """log2 CPM against fold change with DE flag (adjusted p below ``max_p``)."""
     return results.join(_log_cpm_of_genes(counts), "gene").select(

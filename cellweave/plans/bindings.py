@@ -38,6 +38,16 @@ def counts_dense(spark: SparkSession, folder: str) -> DataFrame:
     return _quantities(spark, folder, F.col("l_partkey") % 50)
 
 
+def counts_uneven(spark: SparkSession, folder: str) -> DataFrame:
+    """Rare and common genes: every fourth part alone, the others folded by the root of their number; a fifth of the common
+    genes has twice the quantity in one region."""
+    part, third = F.col("l_partkey"), (F.col("l_partkey") * 7 + F.col("l_suppkey") * F.col("l_partkey")) % 3
+    gene = F.when(part % 4 == 0, part + 1_000_000_000).otherwise(F.floor(F.sqrt(part.cast("double"))).cast("bigint") * 3 + third)
+    raw = _quantities(spark, folder, gene).join(cells(spark, folder).select("cell", "factor"), "cell")
+    raised = (F.col("gene") < 1_000_000_000) & (F.col("gene") % 5 == 1) & (F.col("factor") == "MIDDLE EAST")
+    return raw.select("gene", "cell", (F.col("count") * F.when(raised, 2).otherwise(1)).cast("bigint").alias("count"))
+
+
 def run_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Per-run counts: the line number plays the run."""
     return table(spark, folder, "lineitem").groupBy(
@@ -151,6 +161,9 @@ def marker_pairs(spark: SparkSession, folder: str) -> DataFrame:
 SQL = {
     "counts": "counts AS (SELECT l_partkey AS gene, l_suppkey AS cell, CAST(SUM(l_quantity) AS BIGINT) AS count FROM lineitem GROUP BY 1, 2)",
     "dense": "counts AS (SELECT l_partkey % 50 AS gene, l_suppkey AS cell, CAST(SUM(l_quantity) AS BIGINT) AS count FROM lineitem GROUP BY 1, 2)",
+    "uneven": """uneven AS (SELECT gene, cell, CAST(count * CASE WHEN gene < 1000000000 AND gene % 5 = 1 AND factor = 'MIDDLE EAST' THEN 2 ELSE 1 END AS BIGINT) AS count
+FROM (SELECT CASE WHEN l_partkey % 4 = 0 THEN l_partkey + 1000000000 ELSE CAST(floor(sqrt(l_partkey)) AS BIGINT) * 3 + (l_partkey * 7 + l_suppkey * l_partkey) % 3 END AS gene,
+l_suppkey AS cell, SUM(l_quantity) AS count FROM lineitem GROUP BY 1, 2) JOIN cells USING (cell))""",
     "run_counts": "run_counts AS (SELECT CAST(l_linenumber AS VARCHAR) AS run, l_partkey AS gene, CAST(SUM(l_quantity) AS BIGINT) AS count FROM lineitem GROUP BY 1, 2)",
     "cells": "cells AS (SELECT s_suppkey AS cell, s_name AS id, n_name AS individual, r_name AS factor FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)",
     "genes": "genes AS (SELECT p_partkey AS gene, p_brand = 'Brand#13' AS is_ERCC, p_brand = 'Brand#5' AS is_Mt FROM part)",

@@ -47,7 +47,70 @@ def _(spark, d):
     return models.deseq_dispersion(models.prepare(b.counts(spark, d), _cells(spark, d), ["factor"]))
 
 
-@query("nb_lrt")
+def _moments(counts, cells):
+    """Dispersions by moments, which SQL can restate; zeros count."""
+    n, inverse = cells.agg(F.count("*")).scalar(), cells.agg(F.avg(1 / F.col("size_factor"))).scalar()
+    z = F.col("count") / F.col("size_factor")
+    sums = counts.join(cells, "cell").groupBy("gene").agg(F.sum(z).alias("a"), F.sum(z * z).alias("q"))
+    mean = F.col("a") / n
+    value = ((F.col("q") - F.col("a") * mean) / (n - 1) - inverse * mean) / (mean * mean)
+    return sums.select("gene", F.least(F.lit(10.0), F.greatest(F.lit(1e-4), value)).alias("dispersion"))
+
+
+def _tested(spark, d):
+    counts, cells = b.counts_uneven(spark, d), _cells(spark, d)
+    return models.nb_lrt(counts, cells, ["factor"], dispersions=_moments(counts, cells), alpha=0.01)
+
+
+# Newton steps of a group's log rate by list functions, robust dispersions, Cook's distances with the F tail by Simpson's rule,
+# and Benjamini-Hochberg at every cutoff.
+_STEPS = ", ".join(repr(0.95 * k / 49) for k in range(50))
+_NEWTON = """list_reduce(list_prepend(ln(list_sum(y) / list_sum(s)), list_transform(range(40), lambda i: CAST(i AS DOUBLE))), lambda e, i: e
+ + list_sum(list_transform(list_zip(y, s), lambda t: (t[1] - t[2] * exp(e)) / (1 + alpha * t[2] * exp(e))))
+ / list_sum(list_transform(list_zip(y, s), lambda t: t[2] * exp(e) * (1 + alpha * t[1]) / pow(1 + alpha * t[2] * exp(e), 2))))"""
+_LOGLIK = """list_sum(list_transform(list_zip(y, s), lambda t: t[1] * (ln(t[2]) + eta - ln(1 + alpha * t[2] * exp(eta))) - ln(1 + alpha * t[2] * exp(eta)) / alpha))"""
+_TRIM = "CASE WHEN len(z) <= 3 THEN floor(len(z) / 3.0) WHEN len(z) <= 23 THEN floor(len(z) * 0.25) ELSE floor(len(z) * 0.125) END"
+_TESTED = f""", lm AS (SELECT AVG(total_counts) AS a FROM library), nu AS (SELECT cell, factor, total_counts / a AS s FROM cells JOIN library USING (cell), lm),
+nn AS (SELECT COUNT(*) AS n, AVG(1 / s) AS inv, COUNT(DISTINCT factor) AS levels FROM nu),
+us AS (SELECT * FROM uneven),
+mo AS (SELECT gene, SUM(count / s) AS a, SUM(pow(count / s, 2)) AS q FROM us JOIN nu USING (cell) GROUP BY gene),
+dp AS (SELECT gene, a / n AS mean, least(10.0, greatest(1e-4, ((q - a * (a / n)) / (n - 1) - inv * (a / n)) / pow(a / n, 2))) AS alpha FROM mo, nn),
+gr AS (SELECT gene, factor, alpha, mean, list(CAST(COALESCE(count, 0) AS DOUBLE) ORDER BY cell) AS y, list(s ORDER BY cell) AS s
+       FROM dp CROSS JOIN nu LEFT JOIN us USING (gene, cell) GROUP BY ALL),
+f1 AS (SELECT *, CASE WHEN list_sum(y) = 0 THEN -30.0 ELSE {_NEWTON} END AS eta FROM gr),
+l1 AS (SELECT *, {_LOGLIK} AS ll, list_transform(list_zip(y, s), lambda t: t[1] / t[2]) AS z,
+       list_transform(s, lambda v: v * exp(eta) / (1 + alpha * v * exp(eta))) AS w FROM f1),
+tr AS (SELECT *, {_TRIM} AS cut FROM l1),
+mi AS (SELECT *, list_avg(list_slice(list_sort(z), cut + 1, len(z) - cut)) AS middle FROM tr),
+va AS (SELECT *, CASE WHEN len(z) >= 3 THEN CASE WHEN len(z) <= 3 THEN 2.04 WHEN len(z) <= 23 THEN 1.86 ELSE 1.51 END * list_avg(list_slice(
+       list_sort(list_transform(z, lambda v: pow(v - middle, 2))), cut + 1, len(z) - cut)) END AS v FROM mi),
+sp AS (SELECT *, greatest(0.04, COALESCE((MAX(v) OVER (PARTITION BY gene) - mean) / pow(mean, 2), 0.04)) AS spread FROM va),
+ck AS (SELECT gene, MAX(CASE WHEN len(y) >= 3 THEN list_max(list_transform(list_zip(y, s, w), lambda t: pow(t[1] - t[2] * exp(eta), 2)
+       / (t[2] * exp(eta) + spread * pow(t[2] * exp(eta), 2)) / levels * least(0.999999, t[3] / list_sum(w)) / pow(1 - least(0.999999, t[3] / list_sum(w)), 2))) END) AS d,
+       SUM(ll) AS ll FROM sp, nn GROUP BY gene),
+al AS (SELECT gene, alpha, mean, flatten(list(y)) AS y, flatten(list(s)) AS s FROM gr GROUP BY ALL),
+f0 AS (SELECT *, {_NEWTON} AS eta FROM al), l0 AS (SELECT gene, mean, {_LOGLIK} AS ll0 FROM f0),
+fx AS (SELECT gene, mean, greatest(0.0, 2 * (ll - ll0)) AS stat, sqrt(levels * d / (levels * d + n - levels)) AS u, levels / 2.0 AS p, (n - levels) / 2.0 AS q FROM ck JOIN l0 USING (gene), nn),
+tl AS (SELECT *, exp(lgamma(p + q) - lgamma(p) - lgamma(q)) * u / 6000 * list_sum(list_transform(range(2001), lambda i:
+       CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * 2 * pow(u * i / 2000, 2 * p - 1) * pow(1 - pow(u * i / 2000, 2), q - 1))) AS share FROM fx),
+pv AS (SELECT gene, mean, stat, CASE WHEN share <= 0.99 THEN exp(-stat / 2) * (1 + stat / 2) END AS pvalue FROM tl),
+cu AS (SELECT unnest(range(1, 51)) AS step, unnest(quantile_cont(mean, [{_STEPS}])) AS cutoff FROM pv),
+rk AS (SELECT step, cutoff, pvalue, COUNT(*) OVER (PARTITION BY step) AS m, RANK() OVER (PARTITION BY step ORDER BY pvalue) + COUNT(*) OVER (PARTITION BY step, pvalue) - 1 AS rank
+       FROM pv JOIN cu ON mean >= cutoff WHERE pvalue IS NOT NULL),
+ht AS (SELECT step, cutoff, MAX(CASE WHEN pvalue * m / rank < 0.01 THEN rank ELSE 0 END) AS hits FROM rk GROUP BY ALL),
+ch AS (SELECT cutoff AS threshold FROM ht ORDER BY hits DESC, step LIMIT 1),
+ad AS (SELECT DISTINCT pvalue, least(1.0, MIN(pvalue * m / rank) OVER (ORDER BY pvalue DESC)) AS padj FROM rk JOIN ch ON cutoff = threshold),
+results AS (SELECT gene, mean, stat, pv.pvalue, CASE WHEN mean >= threshold THEN padj END AS padj, threshold FROM pv CROSS JOIN ch LEFT JOIN ad ON pv.pvalue = ad.pvalue)
+"""
+
+
+@query("nb_lrt", sql("counts library cells uneven", _TESTED + """SELECT gene, round(mean, 6) AS "baseMean", round(stat, 5) AS stat, round(pvalue, 6) AS pvalue,
+round(padj, 6) AS padj, round(threshold, 6) AS threshold FROM results"""))
+def _(spark, d):
+    return _tested(spark, d).select("gene", F.round("stat", 5).alias("stat"), *rounded("baseMean", "pvalue", "padj", "threshold"))
+
+
+@query("nb_lrt_fitted")
 def _(spark, d):
     return models.nb_lrt(b.counts(spark, d), _cells(spark, d), ["factor"]).drop("eta", "leverage")
 
@@ -81,14 +144,35 @@ def _(spark, d):
     return models.find_markers(b.counts(spark, d), _cells(spark, d), "factor")
 
 
-@query("summarize_results")
+@query("summarize_results", sql("counts library cells uneven", _TESTED + f""", lf AS (
+SELECT gene, MAX(CASE WHEN factor = 'MIDDLE EAST' THEN eta END) - MAX(CASE WHEN factor = 'AFRICA' THEN eta END) AS lfc FROM f1 GROUP BY gene)
+SELECT COUNT(*) AS total, COUNT(*) FILTER (padj < 0.01 AND lfc > 0) AS up, COUNT(*) FILTER (padj < 0.01 AND lfc < 0) AS down,
+COUNT(*) FILTER (pvalue IS NULL AND mean > 0) AS outliers, COUNT(*) FILTER (padj IS NULL AND pvalue IS NOT NULL) AS low_counts FROM results JOIN lf USING (gene)"""))
 def _(spark, d):
-    return summaries.summarize_results(models.nb_lrt(b.counts(spark, d), _cells(spark, d), ["factor"]))
+    return summaries.summarize_results(_tested(spark, d), 0.01)
 
 
-@query("ma_table")
+# A region without a count of the gene has no finite fold change: it is left out on both sides.
+_FOLDS = """, lf AS (SELECT gene, MAX(CASE WHEN factor = 'MIDDLE EAST' THEN eta END) AS up, MAX(CASE WHEN factor = 'AFRICA' THEN eta END) AS down FROM f1 GROUP BY gene)"""
+
+
+def _finite(results):
+    return results.withColumn("log2FoldChange", F.when(F.abs("log2FoldChange") < 12, F.col("log2FoldChange")))
+
+
+@query("ma_table", sql("counts library cells uneven", _TESTED + _FOLDS + """
+SELECT gene, round(mean, 6) AS "baseMean", CASE WHEN up > -30 AND down > -30 THEN round((up - down) / ln(2), 6) END AS "log2FoldChange",
+COALESCE(padj < 0.01, false) AS significant FROM results JOIN lf USING (gene)"""))
+def _(spark, d):
+    return _finite(models.ma_table(_tested(spark, d), 0.01)).select("gene", "significant", *rounded("baseMean", "log2FoldChange"))
+
+
+@query("volcano_table", sql("counts library cells uneven", _TESTED + _FOLDS + """, vt AS (SELECT gene, CASE WHEN up > -30 AND down > -30 THEN (up - down) / ln(2) END AS lfc, padj
+FROM results JOIN lf USING (gene) WHERE padj IS NOT NULL)
+SELECT gene, round(lfc, 6) AS "log2FoldChange", round(-log10(padj), 6) AS strength,
+CASE WHEN padj < 0.01 AND lfc > 0.5 THEN 'up' WHEN padj < 0.01 AND lfc < -0.5 THEN 'down' ELSE 'none' END AS call FROM vt"""))
 def _(spark, d):
-    return models.ma_table(models.nb_lrt(b.counts(spark, d), _cells(spark, d), ["factor"]))
+    return models.volcano_table(_finite(_tested(spark, d)), alpha=0.01, fold=0.5).select("gene", "call", *rounded("log2FoldChange", "strength"))
 
 
 @query("bcv_table")

@@ -25,7 +25,7 @@ def test_fit_is_a_maximum():
     bins = nb.CellBins(row, size, np.ones(200))
     gene = nb.GeneSums(row[seen], size[seen], y[seen].astype(float))
     x = np.column_stack([np.ones(3), [0, 1, 0], [0, 0, 1]])
-    beta, _, best = nb.fit(x, gene, bins, 0.2)
+    beta, _, best, _ = nb.fit(x, gene, bins, 0.2)
     for shift in np.eye(3) * 0.01:
         assert nb.log_likelihood(x @ (beta + shift), gene, bins, 0.2) < best
         assert nb.log_likelihood(x @ (beta - shift), gene, bins, 0.2) < best
@@ -44,6 +44,90 @@ def _simulated(spark, genes=60, cells=120):
     return spark.createDataFrame(counts), spark.createDataFrame(table)
 
 
+def test_f_quantiles():
+    for level, upper, lower, value in ((0.95, 1, 1, 161.447639), (0.99, 2, 10, 7.559432), (0.95, 4, 20, 2.866081), (0.5, 7, 7, 1.0)):
+        assert abs(tails.f_quantile(level, upper, lower) - value) < 1e-5
+
+
+def _bh(p):
+    order = np.argsort(-p)
+    q = np.minimum.accumulate(p[order] * len(p) / np.arange(len(p), 0, -1))
+    out = np.empty(len(p))
+    out[order] = np.minimum(q, 1)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_independent_filter_takes_the_cutoff_with_most_discoveries(spark, seed):
+    rng = np.random.default_rng(seed)
+    mean = np.where(rng.random(400) < 0.1, 0.0, np.exp(rng.normal(2, 2, 400)))
+    p = np.where((mean > 20) & (rng.random(400) < 0.5), rng.random(400) * 0.02, rng.random(400)).round(3)
+    known = (rng.random(400) > 0.05) & (mean > 0)
+    table = pd.DataFrame({"gene": range(400), "baseMean": mean, "pvalue": np.where(known, p, np.nan)})
+    frame = spark.createDataFrame(table).selectExpr("gene", "baseMean", "nanvl(pvalue, null) AS pvalue")
+    got = models.independent_filter(frame).toPandas().sort_values("gene")
+    best = (-1, None)
+    for theta in np.linspace((mean == 0).mean(), 0.95, models.CUTOFFS):
+        cutoff = np.quantile(mean, theta)
+        inside = known & (mean >= cutoff)
+        hits = (_bh(p[inside]) < 0.1).sum() if inside.any() else 0
+        if hits > best[0]:
+            best = (hits, cutoff)
+    inside = known & (mean >= best[1])
+    assert abs(got.threshold.iloc[0] - best[1]) < 1e-9 and best[0] > 10
+    assert np.allclose(got.padj[inside], _bh(p[inside])) and got.padj[~inside].isna().all() and (known & ~inside).any()
+
+
+def test_independent_filter_without_genes(spark):
+    empty = spark.createDataFrame([], "gene int, baseMean double, pvalue double")
+    assert models.independent_filter(empty).columns == ["gene", "baseMean", "pvalue", "padj", "threshold"]
+    nothing = spark.createDataFrame([(1, 2.0, None)], "gene int, baseMean double, pvalue double")
+    assert models.independent_filter(nothing).first()["padj"] is None
+
+
+def _influence(y, size, row, eta, leverage, columns, alpha):
+    """Cook's distances cell by cell, with the trimmed moments written out."""
+    z, variances = y / size, []
+    for r in set(row):
+        own = np.sort(z[row == r])
+        if len(own) >= 3:
+            share, factor = (1 / 3, 2.04) if len(own) <= 3 else (1 / 4, 1.86) if len(own) <= 23 else (1 / 8, 1.51)
+            cut = int(len(own) * share)
+            middle = own[cut:len(own) - cut].mean()
+            variances.append(factor * np.sort((own - middle) ** 2)[cut:len(own) - cut].mean())
+    spread = max((max(variances) - z.mean()) / z.mean() ** 2, 0.04)
+    mu = size * np.exp(eta[row])
+    hat = leverage[row] * mu / (1 + alpha * mu)
+    return (y - mu) ** 2 / (mu + spread * mu**2) / columns * hat / (1 - hat) ** 2
+
+
+def test_outliers_lose_their_p_value(spark):
+    """Also with counts above 4,096 and size factors closer than a thousandth of an octave."""
+    counts, cells = _simulated(spark)
+    wild = counts.unionByName(spark.createDataFrame([(30, 200, 90_000)], "gene long, cell long, count long")).filter("not (gene = 30 and cell = 7)")
+    wild = wild.selectExpr("gene", "IF(cell = 200, 7, cell) AS cell", "count")
+    ready = models.prepare(wild, cells, ["group"])
+    dispersions = wild.selectExpr("gene", "0.2D AS dispersion").distinct()
+    full = models.likelihood_ratio(ready, dispersions, [1]).toPandas().set_index("gene")
+    table, levels = cells.toPandas(), sorted(set(cells.toPandas()["group"]))
+    y = np.zeros((60, len(table)))
+    for r in wild.collect():
+        y[r["gene"], r["cell"]] = r["count"]
+    row = table["group"].map(levels.index).to_numpy()
+    for g in (0, 7, 30):
+        want = _influence(y[g], table["size_factor"].to_numpy(), row, np.array(full.eta[g]), np.array(full.leverage[g]), 2, 0.2)
+        assert abs(full.max_cooks[g] / want.max() - 1) < 1e-9
+        assert full.cells_above[g] == (y[g] > y[g][want.argmax()]).sum()
+    assert full.converged.all()
+    kept = models.nb_lrt(wild, cells, ["group"], dispersions=dispersions).toPandas().set_index("gene")
+    assert np.isnan(kept.pvalue[30]) and kept.pvalue[:5].notna().all()
+    again = models.nb_lrt(wild, cells, ["group"], dispersions=dispersions, outliers=False, filtering=False).toPandas().set_index("gene")
+    assert again.pvalue.notna().all() and again.padj.notna().all()
+    near = models.prepare(wild, cells.withColumn("size_factor", cells.size_factor * 1.0), ["group"], bins_per_octave=1024)
+    binned = models.likelihood_ratio(near, dispersions, [1]).toPandas().set_index("gene")
+    assert np.allclose(binned.log2FoldChange[:20], full.log2FoldChange[:20], atol=2e-3)
+
+
 def test_planted_genes_are_found(spark):
     counts, cells = _simulated(spark)
     results = models.nb_lrt(counts, cells, ["group"]).toPandas().set_index("gene").sort_index()
