@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(shared)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """One Parquet copy in the shared folder, read back: columns stay prunable, and the files go when the driver's JVM ends."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    context = spark.sparkContext
+    path = f"{context.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts lineage and pins values that a recomputation could change.
 

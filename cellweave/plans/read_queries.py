@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cellweave.context import settle
 from cellweave.operators import alignments, lookups, ranking, reads
 from cellweave.plans import bindings as b
 from cellweave.plans.bindings import sql
@@ -255,6 +256,22 @@ def _(spark, d):
         "run", F.col("mate").cast("bigint").alias("mate"), "name", F.length("seq").cast("bigint").alias("length"), F.md5("seq").alias("seq"))
 
 
+@query("read_fastq_paired", """WITH t AS (SELECT conv_id, turn, role, regexp_replace(text, '[^!-~]', '', 'g') AS seq FROM conversations)
+SELECT a.role AS name1, z.role AS name2, md5(a.seq) AS seq1, md5(z.seq) AS seq2, COUNT(*) AS pairs
+FROM t a JOIN t z ON a.conv_id = z.conv_id AND a.turn % 2 = 0 AND z.turn = a.turn + 1 GROUP BY ALL""")
+def _(spark, d):
+    """Mates of all pairs in two files each of one folder, in the same order; the pairs that come back are compared."""
+    folder = b.scratch(spark)
+    pairs = lookups.pair_mates(reads.deinterleave(b.turns(spark, d)))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = settle(pairs.repartitionByRange(width, "run", "read_idx").sortWithinPartitions("run", "read_idx"))
+    for mate in (1, 2):
+        record = F.concat_ws("\n", F.concat(F.lit("@"), f"name{mate}"), f"seq{mate}", F.lit("+"), f"qual{mate}")
+        ordered.select(record.alias("value")).write.text(f"{folder}/parts_{mate}.fastq")
+    return readers.read_fastq_paired(spark, [f"{folder}/parts_{mate}.fastq" for mate in (1, 2)]).groupBy(
+        "name1", "name2", F.md5("seq1").alias("seq1"), F.md5("seq2").alias("seq2")).agg(F.count("*").alias("pairs"))
+
+
 @query("read_count_files", sql("run_counts", "SELECT run, CAST(gene AS VARCHAR) AS gene, count FROM run_counts"))
 def _(spark, d):
     folder = b.scratch(spark)

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from cellweave.functions.columns import mate_from_path, run_from_path
 from cellweave.operators.filters import drop_summary_rows
 from cellweave.operators.lookups import first_per_key, pair_mates
+from cellweave.sources import fastq
 
 # The five leading manifest columns; every further column is a factor.
 MANIFEST_COLUMNS = ["ID", "Individual", "Experiment", "Run", "FASTQ_URI"]
@@ -66,21 +67,14 @@ def _numbered_lines(spark: SparkSession, paths) -> DataFrame:
 
 def read_fastq(spark: SparkSession, paths) -> DataFrame:
     """``reads(run, mate, read_idx, name, seq, qual)``: four lines per record, plain or gz, any split."""
-    lines = _numbered_lines(spark, paths)
-    part = F.pmod("line_no", F.lit(4))
-    records = lines.groupBy("path", F.floor(F.col("line_no") / 4).alias("read_idx")).agg(
-        F.max(F.when(part == 0, F.col("line"))).alias("name"),
-        F.max(F.when(part == 1, F.col("line"))).alias("seq"),
-        F.max(F.when(part == 3, F.col("line"))).alias("qual"),
-    ).filter(F.col("qual").isNotNull())
+    return read_fastq_checked(spark, paths)[0]
+
+
+def read_fastq_checked(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
+    """The reads, and ``damaged(path, block, lines)``: lines that form no record, as a truncated last one."""
+    records, damaged = fastq.read_records(spark, paths)
     return records.select(
-        run_from_path("path", "fastq").alias("run"),
-        mate_from_path("path").cast("int").alias("mate"),
-        "read_idx",
-        F.regexp_replace("name", "^@", "").alias("name"),
-        "seq",
-        "qual",
-    )
+        run_from_path("path", "fastq").alias("run"), mate_from_path("path").cast("int").alias("mate"), "read_idx", "name", "seq", "qual"), damaged
 
 
 def read_fastq_paired(spark: SparkSession, paths) -> DataFrame:

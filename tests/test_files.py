@@ -1,4 +1,5 @@
 import gzip
+import random
 
 import pandas as pd
 import pytest
@@ -28,6 +29,53 @@ def test_fastq_in_many_splits(spark, tmp_path):
     assert (own.qual.str[0] == "@").all() and (table.run == "run8").sum() == 20
 
 
+@pytest.mark.parametrize("split", [60, 137, 400, 5000])
+def test_fastq_is_whole_for_any_split(spark, tmp_path, split):
+    """Qualities that begin with @ and +, reads longer than a split, names like plus lines, carriage returns."""
+    rng = random.Random(split)
+    records = []
+    for k in range(160):
+        size = rng.choice([1, 5, 30, 400])
+        records.append((f"{rng.choice('r+@')}{k}", "".join(rng.choice("ACGTN") for _ in range(size)), "".join(rng.choice("@+I#") for _ in range(size))))
+    text = "".join(f"@{n}\r\n{s}\r\n+{rng.choice(['', n])}\r\n{q}\r\n" for n, s, q in records)
+    (tmp_path / "long.fastq").write_bytes(text.encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        table, damaged = readers.read_fastq_checked(spark, str(tmp_path))
+        rows = table.orderBy("read_idx").collect()
+        lost = damaged.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [(r.read_idx, r.name, r.seq, r.qual) for r in rows] == [(k, *r) for k, r in enumerate(records)] and lost == 0
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Scan text" not in plan and "hashpartitioning(path" not in plan  # text is read once, and records stay where they are
+
+
+@pytest.mark.parametrize("split", [200, 100_000])
+def test_damaged_fastq_lines_are_given(spark, tmp_path, split):
+    good = _fastq(60)
+    lines = good.splitlines(keepends=True)
+    del lines[4 * 30 + 2]  # a lost plus line
+    (tmp_path / "bad.fastq").write_text("".join(lines) + "@cut\nACG\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        table, damaged = readers.read_fastq_checked(spark, str(tmp_path))
+        names = {r.name for r in table.collect()}
+        lost = [x for r in damaged.collect() for x in r.lines]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert names == {f"r{k}" for k in range(60)} - {"r30"}
+    assert {"@r30", "@cut"} <= set(lost) and len(lost) == 5
+
+
+def test_fastq_of_empty_files(spark, tmp_path):
+    (tmp_path / "e.fastq").write_text("")
+    table, damaged = readers.read_fastq_checked(spark, str(tmp_path))
+    assert table.count() == damaged.count() == 0
+
+
 def test_paired_files_and_interleaving(spark, tmp_path):
     (tmp_path / "x_1.fastq").write_text(_fastq(4, "a"))
     (tmp_path / "x_2.fastq").write_text(_fastq(4, "b"))
