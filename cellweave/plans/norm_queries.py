@@ -82,9 +82,27 @@ def _(spark, d):
     return normalize.size_factors_poscounts(b.counts(spark, d)).select("cell", *rounded("size_factor"))
 
 
-@query("size_factors_pooled")
-def _(spark, d):
-    return normalize.size_factors_pooled(b.counts_dense(spark, d))
+# The normal equations have the same row for every cell, so their solution is written with the frequencies of the ring.
+_POOLED = """, rn AS (SELECT cell, total_counts, row_number() OVER (ORDER BY total_counts, cell) - 1 AS k, COUNT(*) OVER () AS n FROM library),
+ri AS (SELECT cell, total_counts, n, CASE WHEN k % 2 = 0 THEN k // 2 ELSE n - 1 - k // 2 END AS pos FROM rn),
+sh AS (SELECT gene, cell, count / total_counts AS x FROM counts JOIN library USING (cell)),
+av AS (SELECT gene, SUM(x) / (SELECT COUNT(*) FROM library) AS a FROM sh GROUP BY gene),
+mb AS (SELECT s.v AS size, (pos - t.i + n) % n AS pool, cell FROM ri, (VALUES (5), (10), (15), (20)) s(v), range(0, 20) t(i) WHERE t.i < s.v),
+ps AS (SELECT size, pool, gene, SUM(x) AS x FROM mb JOIN sh USING (cell) GROUP BY ALL),
+pg AS (SELECT p.size, p.pool, quantile_cont(COALESCE(x, 0) / a, 0.5) AS estimate FROM (SELECT DISTINCT size, pool FROM mb) p CROSS JOIN av
+       LEFT JOIN ps ON ps.size = p.size AND ps.pool = p.pool AND ps.gene = av.gene GROUP BY ALL),
+rh AS (SELECT ri.pos, ri.n, ri.cell, ri.total_counts, SUM(estimate) + 1e-6 AS rhs FROM mb JOIN pg USING (size, pool) JOIN ri USING (cell) GROUP BY ALL),
+fr AS (SELECT f.i AS f, n, 1e-6 + SUM(CASE WHEN f.i = 0 THEN s.v * s.v ELSE pow(sin(pi() * f.i * s.v / n) / sin(pi() * f.i / n), 2) END) AS e
+       FROM (SELECT DISTINCT n FROM ri), range(0, 100000) f(i), (VALUES (5), (10), (15), (20)) s(v) WHERE f.i < n GROUP BY ALL),
+ke AS (SELECT d.i AS d, SUM(cos(2 * pi() * ((f * d.i) % n) / n) / e) / n AS k FROM fr, range(0, 100000) d(i) WHERE d.i < n GROUP BY d.i, n),
+th AS (SELECT x.cell, x.total_counts, SUM(k * y.rhs) AS theta FROM rh x, rh y, ke WHERE d = (x.pos - y.pos + x.n) % x.n GROUP BY ALL),
+rw AS (SELECT cell, greatest(theta, 1e-8) * total_counts AS raw FROM th)
+SELECT cell, round(raw / (SELECT AVG(raw) FROM rw), 4) AS size_factor FROM rw"""
+
+
+@query("size_factors_pooled", sql("dense library", _POOLED))
+def _(spark, d):
+    return normalize.size_factors_pooled(b.counts_dense(spark, d)).select("cell", F.round("size_factor", 4).alias("size_factor"))
 
 
 @query("normalized_counts", sql("dense size", _RATIO + "SELECT gene, cell, round(count / size_factor, 6) AS value FROM counts JOIN sf USING (cell)"))

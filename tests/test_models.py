@@ -156,13 +156,22 @@ def test_pooled_factors_follow_the_planted_sizes(spark):
     assert np.corrcoef(np.log(found.size_factor), np.log(found.size_factor_true))[0, 1] > 0.9
 
 
-def test_ring_chunks_agree_with_one_chunk(spark):
-    n = 900
-    rhs = np.random.default_rng(2).random(n)
+@pytest.mark.parametrize("n, weight, chunk", [(900, 30.0, None), (900, 30.0, 1), (37, 1.0, None), (7, 1.0, None), (2500, 0.5, 300), (100, 1e-6, None)])
+def test_ring_solution_satisfies_the_equations(spark, n, weight, chunk):
+    """One chunk, many chunks, rings shorter than a pool, and the weight in use, against the system written out."""
+    pools, truth = [], np.random.default_rng(2).random(n) + 0.5
+    for size in (5, 10, 15, 20):
+        for at in range(n):
+            row = np.zeros(n)
+            np.add.at(row, np.arange(at, at + size) % n, 1.0)
+            pools.append(row)
+    a = np.array(pools)
+    b = a @ truth + np.random.default_rng(3).normal(0, 0.1, len(a))
+    rhs = a.T @ b + weight
     ring = spark.createDataFrame(pd.DataFrame({"cell": range(n), "position": range(n), "n_cells": n, "rhs": rhs}))
-    whole = normalize._solve_ring(ring, (5, 10, 15, 20), 30.0).toPandas().sort_values("cell").theta
-    pieces = normalize._solve_ring(ring, (5, 10, 15, 20), 30.0, chunk=350, reach=150).toPandas().sort_values("cell")
-    assert len(pieces) == n and np.abs(whole.to_numpy() - pieces.theta.to_numpy()).max() < 1e-6
+    got = normalize._solve_ring(ring, (5, 10, 15, 20), weight, chunk).toPandas().sort_values("cell")
+    assert len(got) == n
+    assert np.abs((a.T @ a + weight * np.eye(n)) @ got.theta.to_numpy() - rhs).max() < 2e-7 * np.abs(rhs).max()
 
 
 def test_method_names():
