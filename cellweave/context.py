@@ -38,7 +38,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     place = context._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_at = place
+    return back
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the files of a ``written`` frame that nothing reads any more."""
+    context = df.sparkSession.sparkContext
+    df.written_at.getFileSystem(context._jsc.hadoopConfiguration()).delete(df.written_at, True)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -254,27 +254,58 @@ def _tree(spark, d, variant="ward.D"):
     return clustering.ward(distance.pearson_distance(_logs(spark, d)), variant)
 
 
-@query("ward")
+# Ward step by step on the whole matrix, held as one list by rows: the smallest entry merges its row and column.
+_WARD = """, dm AS (SELECT i, j, {start} AS d FROM (SELECT i, j, sqrt(2 * (1 - r)) AS d0 FROM r WHERE r IS NOT NULL)),
+nm AS (SELECT list(c ORDER BY c) AS names, COUNT(*) AS n FROM (SELECT i AS c FROM dm UNION SELECT j FROM dm)),
+ix AS (SELECT unnest(names) AS c, unnest(range(0, n)) AS k FROM nm),
+fm AS (SELECT list(COALESCE(d, 1e300) ORDER BY x.k, y.k) AS d FROM ix x CROSS JOIN ix y LEFT JOIN dm ON dm.i = least(x.c, y.c) AND dm.j = greatest(x.c, y.c)),
+walk AS (SELECT 0 AS step, n, d, list_transform(range(0, n), lambda k: 1) AS sz, CAST(NULL AS BIGINT) AS a, CAST(NULL AS BIGINT) AS b, CAST(NULL AS DOUBLE) AS h,
+  CAST(NULL AS BIGINT) AS size, CAST(NULL AS BIGINT) AS left_size FROM fm, nm
+UNION ALL SELECT step + 1, n, list_transform(range(0, n * n), lambda q: CASE
+    WHEN q // n = q % n OR q // n = b2 OR q % n = b2 OR sz[q // n + 1] = 0 OR sz[q % n + 1] = 0 THEN 1e300
+    WHEN q // n = a2 OR q % n = a2 THEN ((sz[a2 + 1] + sz[q // n + q % n - a2 + 1]) * d[a2 * n + q // n + q % n - a2 + 1]
+      + (sz[b2 + 1] + sz[q // n + q % n - a2 + 1]) * d[b2 * n + q // n + q % n - a2 + 1] - sz[q // n + q % n - a2 + 1] * h2) / (sz[a2 + 1] + sz[b2 + 1] + sz[q // n + q % n - a2 + 1])
+    ELSE d[q + 1] END), list_transform(range(0, n), lambda k: CASE WHEN k = a2 THEN sz[a2 + 1] + sz[b2 + 1] WHEN k = b2 THEN 0 ELSE sz[k + 1] END),
+  a2, b2, h2, sz[a2 + 1] + sz[b2 + 1], sz[a2 + 1]
+  FROM (SELECT *, list_min(d) AS h2, (list_position(d, list_min(d)) - 1) // n AS a2, (list_position(d, list_min(d)) - 1) % n AS b2 FROM walk WHERE step < n - 1)),
+merges AS (SELECT CAST(step AS BIGINT) AS step, names[a + 1] AS "left", names[b + 1] AS "right", {height} AS height, size, left_size FROM walk, nm WHERE step > 0)"""
+_PATHS = """, links AS (SELECT "right" AS node, "left" AS parent, left_size FROM merges WHERE {kept}),
+path AS (SELECT c AS cell, c AS node, CAST(0 AS BIGINT) AS off FROM ix UNION ALL SELECT cell, parent, off + left_size FROM path JOIN links USING (node)),
+rooted AS (SELECT cell, arg_max(node, off) AS root, MAX(off) AS off FROM path GROUP BY cell) """
+
+
+def _ward_sql(body, squared=False, kept="true"):
+    tree = _WARD.replace("{start}", "d0 * d0" if squared else "d0").replace("{height}", "sqrt(h)" if squared else "h")
+    text = sql("counts library size", _PEARSON + tree + _PATHS.replace("{kept}", kept) + body)
+    return text.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_MERGES = """ SELECT step, "left", "right", round(height, 6) AS height, CAST(size AS BIGINT) AS size, CAST(left_size AS BIGINT) AS left_size FROM merges"""
+
+
+@query("ward", _ward_sql(_MERGES))
 def _(spark, d):
-    return _tree(spark, d)
+    return _tree(spark, d).select("step", "left", "right", *rounded("height"), "size", "left_size")
 
 
-@query("ward_squared")
+@query("ward_squared", _ward_sql(_MERGES, squared=True))
 def _(spark, d):
-    return _tree(spark, d, "ward.D2")
+    return _tree(spark, d, "ward.D2").select("step", "left", "right", *rounded("height"), "size", "left_size")
 
 
-@query("cut_k")
+@query("cut_k", _ward_sql("SELECT cell, CAST(DENSE_RANK() OVER (ORDER BY root) AS BIGINT) AS cluster FROM rooted", kept="step <= (SELECT MAX(step) FROM merges) - 3"))
 def _(spark, d):
     return clustering.cut_k(_tree(spark, d), 4)
 
 
-@query("cut_height")
+@query("cut_height", _ward_sql(""", sz2 AS (SELECT root, COUNT(*) AS n FROM rooted GROUP BY root),
+cd AS (SELECT root, row_number() OVER (ORDER BY n DESC, root) AS cluster FROM sz2 WHERE n >= 2)
+SELECT cell, CAST(COALESCE(cluster, 0) AS BIGINT) AS cluster FROM rooted LEFT JOIN cd USING (root)""", kept="height <= 0.9 * (SELECT MAX(height) FROM merges)"))
 def _(spark, d):
     return clustering.cut_height(_tree(spark, d), 0.9, 2)
 
 
-@query("leaf_order")
+@query("leaf_order", _ward_sql("SELECT cell, CAST(off + 1 AS BIGINT) AS position FROM rooted"))
 def _(spark, d):
     return clustering.leaf_order(_tree(spark, d))
 

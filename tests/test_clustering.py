@@ -29,12 +29,25 @@ def _naive_heights(x, squared):
     return np.sqrt(heights) if squared else np.array(heights)
 
 
-@pytest.mark.parametrize("variant,finish_at", [("ward.D", 1), ("ward.D2", 12)])
-def test_ward_equals_sequential_ward(spark, variant, finish_at):
-    x = _points(24)
-    merges = clustering.ward(_distances(spark, x), variant, finish_at).toPandas().sort_values("step")
+@pytest.mark.parametrize("variant", ["ward.D", "ward.D2"])
+def test_ward_equals_sequential_ward(spark, variant):
+    """Also more cells than were once finished in one task."""
+    x = _points(24 if variant == "ward.D" else 90)
+    merges = clustering.ward(_distances(spark, x), variant).toPandas().sort_values("step")
     assert np.allclose(merges.height, np.sort(_naive_heights(x, variant == "ward.D2")))
-    assert merges["size"].max() == 24
+    assert merges["size"].max() == len(x)
+
+
+def test_ward_with_equal_distances_and_a_chain(spark):
+    """Ties go by name; unlike distances merge few pairs a round."""
+    tied = pd.DataFrame([(i, j, 1.0) for i in range(6) for j in range(i + 1, 6)], columns=["i", "j", "d"])
+    got = clustering.ward(spark.createDataFrame(tied)).toPandas().sort_values("step")
+    assert got[["left", "right"]].values.tolist()[0] == [0, 1] and got["size"].max() == 6 and len(got) == 5
+    x = np.cumsum(1.5 ** np.arange(9))[:, None]
+    chain = clustering.ward(_distances(spark, x)).toPandas().sort_values("step")
+    assert np.allclose(chain.height, _naive_heights(x, False)) and chain["left"].tolist() == [0, 2, 0, 4, 6, 0, 6, 0]
+    with pytest.raises(ValueError):
+        clustering.ward(spark.createDataFrame([(1, 2, 1.0), (3, 4, 1.0)], "i int, j int, d double"))
 
 
 def test_cut_and_order(spark):
