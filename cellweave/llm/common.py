@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import gc
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from cellweave.context import ensure_checkpoint_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = "\\x20\\x09-\\x0D"
+_RECORDERS: list[list[DataFrame]] = []
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,9 +33,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
+    if _RECORDERS:
+        _RECORDERS[-1].append(out)
     return out
 
 
+@contextmanager
+def recorded(into: list[DataFrame]) -> Iterator[None]:
+    """Note the frames stored inside, so that they can be discarded when nothing reads them any more."""
+    _RECORDERS.append(into)
+    try:
+        yield
+    finally:
+        _RECORDERS.pop()
+
+
+def alone(body: Callable[[], tuple[DataFrame, list[DataFrame]]]) -> DataFrame:
+    """Result of ``body``, which also names the stored frames that the result reads; all others it stored are discarded."""
+    made: list[DataFrame] = []
+    with recorded(made):
+        result, read = body()
+    kept = {id(df) for df in read}
+    discard(*[df for df in made if id(df) not in kept])
+    if _RECORDERS:
+        _RECORDERS[-1].extend(read)
+    return result
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete the files of stored frames that nothing reads any more."""
     for df in frames:

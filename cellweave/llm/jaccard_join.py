@@ -21,13 +21,14 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import discard, release, small_batches, stored, table
+from cellweave.llm.common import alone, discard, release, small_batches, stored, table
 from cellweave.llm.components import components
 from cellweave.llm.shingles import fingerprint, shingle_sets
 
@@ -40,6 +41,7 @@ BITS = [f"b{w}" for w in range(WORDS)]  # a bitmap of the prefix: a bit that one
 SKETCH_WORDS = 16
 SKETCH = [f"s{w}" for w in range(SKETCH_WORDS)]  # a bit is the parity of the shingles of the whole set that fall on it
 NAMED_SLOTS = 1 << 20  # bounds the broadcast of slots of asked ids
+PASSES = 4  # runs in which candidate pairs are verified
 BLOCK = 512  # members of a bucket that meet in one block
 
 
@@ -145,11 +147,15 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, t
     ids = classes.join(needed, "cid").select("doc_id").distinct()
     texts = stored(_class_texts(docs, ids, size), "class-texts")
     release(docs.sparkSession)
-    both = pairs.join(texts.withColumnsRenamed({"cid": "a", "text": "x"}), "a").join(texts.withColumnsRenamed({"cid": "b", "text": "y"}), "b")
-    links = stored(both.select("a", "b", "x", "y").mapInArrow(check, "a binary, b binary"), "verified")
+    # A pair's texts meet in one of PASSES runs, each of which shuffles its share of the texts only.
+    links = []
+    for turn in range(PASSES):
+        own = pairs.where(F.pmod(F.xxhash64("a"), F.lit(PASSES)) == turn)
+        both = own.join(texts.withColumnsRenamed({"cid": "a", "text": "x"}), "a").join(texts.withColumnsRenamed({"cid": "b", "text": "y"}), "b")
+        links.append(stored(both.select("a", "b", "x", "y").mapInArrow(check, "a binary, b binary"), "verified"))
+        release(docs.sparkSession)
     discard(texts)
-    release(docs.sparkSession)
-    return links
+    return reduce(DataFrame.unionByName, links)
 
 
 def _enough(threshold: Fraction) -> Column:
@@ -223,7 +229,11 @@ def rest_pairs(entries: DataFrame, threshold: Fraction) -> DataFrame:
 
 
 def linked(docs: DataFrame, size: int = 3, threshold: Fraction = Fraction(9, 10)) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row."""
+    """doc_id, n_shingles, component_id for every row. ``doc_id`` may be of any type with an order."""
+    return alone(lambda: _linked(docs, size, threshold))
+
+
+def _linked(docs: DataFrame, size: int, threshold: Fraction) -> tuple[DataFrame, list[DataFrame]]:
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -249,8 +259,10 @@ def linked(docs: DataFrame, size: int = 3, threshold: Fraction = Fraction(9, 10)
         heads.select(F.col("g").alias("g2"), F.col("head").alias("two")), "g2").select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b"))
     inside = classes.join(heads, "g").where("cid <> head").select(F.col("head").alias("a"), F.col("cid").alias("b"))
     pairs = stored(near(between.unionByName(inside).distinct(), classes, threshold), "pairs")
+    discard(stars)
     release(spark)
     links = verified(pairs, classes, docs, size, threshold)
+    discard(pairs)
     roots = stored(components(links), "roots")
 
     rooted = classes.select("cid", "g").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "g", F.coalesce("root", "cid").alias("root"))
@@ -278,13 +290,30 @@ def linked(docs: DataFrame, size: int = 3, threshold: Fraction = Fraction(9, 10)
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     labels = named.join(least, "root").select("cid", "component_id")
     out = narrow.select("doc_id", F.col("n").alias("n_shingles"), "cid").join(labels, "cid", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id")), [narrow, named]
 
 
 def keep_one(docs: DataFrame, size: int = 3, threshold: Fraction = Fraction(9, 10)) -> DataFrame:
-    """Input rows whose doc_id names their component."""
-    named = linked(docs, size, threshold).where("doc_id = component_id or component_id is null").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(named, docs["doc_id"].eqNullSafe(named["_id"]), "left_semi")
+    """One input row of every component: that with the smallest doc_id, null ids last; ties go by the text's hash.
+
+    A row is known by its doc_id and 128 bits of its text, so a doc_id with several texts is several documents. Of rows that repeat both
+    one stays. Rows without words are linked with nothing and all stay. Other columns pass through, whatever their names.
+    """
+    text = F.col("text").cast("string")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
+    found = stored(linked(docs.select(key.alias("doc_id"), text.alias("text")), size, threshold), "components")
+    heads = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"), F.max("n_shingles").alias("words"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = docs.select(row, key.alias("_key"), F.hash(key).alias("_slot"))
+
+    def of(chosen: DataFrame) -> DataFrame:
+        chosen = chosen.select(F.col("doc_id").alias("_head"), F.hash("doc_id").alias("_h"))
+        return rows.join(chosen, (F.col("_slot") == F.col("_h")) & F.col("_key").eqNullSafe(F.col("_head")), "left_semi")
+
+    repeated = (F.col("n") > 1) & (F.col("words") > 0)
+    kept = of(heads.where(~repeated)).unionByName(of(heads.where(repeated)).dropDuplicates(["_key"]))
+    return kept.select("_row.*")
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -126,9 +126,15 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def keep_first_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Input columns with later copies of repeated runs deleted; a document that was nothing but copies goes."""
-    out = stored(deduplicated(docs, min_words), "deduplicated")  # a filter would be pushed into the projection and repeat its work
-    return out.where(f"_deleted = 0 or text rlike '[^ \\\\t-\\\\r]'").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Input columns with later copies of repeated runs deleted; a document that was nothing but copies goes.
+
+    Any other columns pass through, whatever their names: they travel inside one struct.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    inner = docs.select("doc_id", "text", row.alias("_row"))
+    out = stored(deduplicated(inner, min_words).select("text", "_row", "_deleted"), "deduplicated")  # a filter would be pushed into the projection and repeat its work
+    return out.where("_deleted = 0 or text rlike '[^ \\\\t-\\\\r]'").select(
+        *[F.col("text") if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

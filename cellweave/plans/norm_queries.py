@@ -387,19 +387,40 @@ def _(spark, d):
     return pairs.select("gene1", "gene2", *rounded("rho"))
 
 
-@query("correlate_pairs_fdr")
-def _(spark, d):
+# Random orders by MD5, as the operator draws them; every pair is compared with all of them.
+_PAIR_P = """, co AS ({cor}),
+dr AS (SELECT it, k, n_cells AS n, row_number() OVER (PARTITION BY it ORDER BY md5(concat('100-', it, '-', k)), k) AS pos
+       FROM range(0, 2000) t(it), (SELECT n_cells, unnest(range(1, CAST(n_cells AS BIGINT) + 1)) AS k FROM size)),
+nl AS (SELECT round(1 - 6.0 * SUM((pos - k) * (pos - k)) / (CAST(n AS DOUBLE) * (CAST(n AS DOUBLE) * n - 1)), 12) AS v FROM dr GROUP BY it, n),
+tl AS (SELECT gene1, gene2, rho, COUNT(*) FILTER (v <= round(rho, 12)) + 1 AS low, COUNT(*) FILTER (v >= round(rho, 12)) + 1 AS high FROM co, nl GROUP BY ALL),
+pp AS (SELECT gene1, gene2, rho, least(1.0, 2.0 * least(low, high) / 2001.0) AS p FROM tl),
+rp AS (SELECT *, p * COUNT(*) OVER () / (RANK() OVER (ORDER BY p) + COUNT(*) OVER (PARTITION BY p) - 1) AS q FROM pp),
+fp AS (SELECT gene1, gene2, rho, p, least(1.0, MIN(q) OVER (ORDER BY p DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS fdr FROM rp)"""
+
+
+def _pairs(spark, d):
     counts = b.counts(spark, d)
     cells = counts.agg(F.count_distinct("cell")).scalar()
-    return variance.correlate_pairs(counts, ranking.highest_expressed(counts, 100), "count", cells)
+    return variance.correlate_pairs(counts, ranking.highest_expressed(counts, 100), "count", cells, draws=2000)
+
 
+def _pair_sql(body):
+    head, _, cor = _COR.rpartition("\nSELECT i AS gene1")
+    return sql("counts size", head + _PAIR_P.replace("{cor}", "SELECT i AS gene1" + cor.replace(", 6) AS rho", ", 15) AS rho")) + body)
 
-@query("gene_modules")
+
+@query("correlate_pairs_fdr", _pair_sql(" SELECT gene1, gene2, round(rho, 6) AS rho, round(p, 6) AS p_value, round(fdr, 6) AS fdr FROM fp"))
 def _(spark, d):
-    counts = b.counts(spark, d)
-    cells = counts.agg(F.count_distinct("cell")).scalar()
-    pairs = variance.correlate_pairs(counts, ranking.highest_expressed(counts, 100), "count", cells)
-    return clustering.gene_modules(pairs.filter("p_value <= 0.01"))
+    return _pairs(spark, d).select("gene1", "gene2", *rounded("rho", "p_value", "fdr"))
+
+
+@query("gene_modules", _pair_sql(""", ed AS (SELECT gene1 AS x, gene2 AS y FROM pp WHERE p <= 0.01 UNION SELECT gene2, gene1 FROM pp WHERE p <= 0.01),
+wk AS (SELECT x AS node, x AS reach FROM ed UNION SELECT node, y FROM wk JOIN ed ON reach = x),
+cm AS (SELECT node, MIN(reach) AS component FROM wk GROUP BY node), sc AS (SELECT component, COUNT(*) AS size FROM cm GROUP BY component),
+cd AS (SELECT component, size, row_number() OVER (ORDER BY size DESC, component) AS module FROM sc)
+SELECT node AS gene, module, size FROM cm JOIN cd USING (component)""").replace("WITH ", "WITH RECURSIVE ", 1))
+def _(spark, d):
+    return clustering.gene_modules(_pairs(spark, d).filter("p_value <= 0.01"))
 
 
 @query("explained_variance", sql("counts cells library", """, q AS (SELECT c.cell, factor, l.total_counts * 1.0 AS t FROM cells c JOIN library l USING (cell)), n AS (SELECT COUNT(*) AS n, SUM(t) AS t, SUM(t * t) AS tt FROM q),
@@ -414,17 +435,35 @@ def _(spark, d):
     return table.select("gene", *rounded("r2_factor", "r2_total_counts"))
 
 
-@query("phase_scores")
+# Observed votes, and the same of cells whose values have been dealt to other genes: orders of the genes by MD5, turned by an MD5 of the cell.
+_PHASES = """, un AS (SELECT DISTINCT gene FROM counts UNION SELECT first FROM pairs UNION SELECT second FROM pairs), gn AS (SELECT COUNT(*) AS g FROM un),
+od AS (SELECT r, gene, row_number() OVER (PARTITION BY r ORDER BY md5(concat('100-', r, '-', gene)), gene) - 1 AS at FROM un, range(0, 21) t(r)),
+cr AS (SELECT cell, r, CASE WHEN r = 0 THEN 0 ELSE CAST('0x' || substr(md5(concat('100-', r, '-cell-', cell)), 1, 8) AS BIGINT) % g END AS turn FROM (SELECT DISTINCT cell FROM counts), range(0, 21) t(r), gn),
+pr AS (SELECT f.r, phase, f.at AS a, z.at AS b FROM pairs JOIN od f ON f.gene = first JOIN od z ON z.gene = second AND z.r = f.r),
+vl AS (SELECT cr.r, cr.cell, (od.at + turn) % g AS at, count FROM counts JOIN od ON od.gene = counts.gene AND od.r = 0 JOIN cr USING (cell), gn),
+sd AS (SELECT vl.r, cell, phase, a, b, count AS x1, 0 AS x2 FROM vl JOIN pr ON pr.r = vl.r AND pr.a = vl.at
+UNION ALL SELECT vl.r, cell, phase, a, b, 0, count FROM vl JOIN pr ON pr.r = vl.r AND pr.b = vl.at),
+sv AS (SELECT r, cell, phase, a, b, SUM(x1) AS x1, SUM(x2) AS x2 FROM sd GROUP BY ALL HAVING SUM(x1) <> SUM(x2)),
+sc AS (SELECT r, cell, phase, COUNT(*) AS votes, 1.0 * COUNT(*) FILTER (x1 > x2) / COUNT(*) AS share FROM sv GROUP BY ALL),
+ns AS (SELECT o.cell, o.phase, AVG(CASE WHEN n.share < o.share THEN 1.0 ELSE 0.0 END) AS score FROM sc o JOIN sc n ON n.cell = o.cell AND n.phase = o.phase AND n.r > 0 WHERE o.r = 0 GROUP BY ALL),
+wd AS (SELECT cell, MAX(CASE WHEN phase = 'G1' THEN score END) AS g1, MAX(CASE WHEN phase = 'G2M' THEN score END) AS g2m, MAX(CASE WHEN phase = 'S' THEN score END) AS s FROM ns GROUP BY cell),
+ph AS (SELECT *, CASE WHEN g1 IS NULL AND g2m IS NULL THEN NULL WHEN COALESCE(g1, 0) < 0.5 AND COALESCE(g2m, 0) < 0.5 THEN 'S' WHEN COALESCE(g1, 0) >= COALESCE(g2m, 0) THEN 'G1' ELSE 'G2M' END AS phase FROM wd)"""
+
+
+def _phases(spark, d):
+    return variance.phase_scores(b.counts(spark, d), b.marker_pairs(spark, d), n_random=20)
+
+
+@query("phase_scores", sql("counts pairs", _PHASES + "SELECT cell, phase, round(g1, 6) AS g1, round(g2m, 6) AS g2m, round(s, 6) AS s FROM ph"))
 def _(spark, d):
-    return variance.phase_scores(b.counts(spark, d), b.marker_pairs(spark, d))
+    return _phases(spark, d).select("cell", "phase", *rounded("g1", "g2m", "s"))
 
 
-@query("filter_phase")
+@query("filter_phase", sql("counts pairs", _PHASES + "SELECT gene, cell, count FROM counts WHERE cell IN (SELECT cell FROM ph WHERE phase = 'G1')"))
 def _(spark, d):
     from cellweave.operators.filters import filter_phase
 
-    counts = b.counts(spark, d)
-    return filter_phase(counts, variance.phase_scores(counts, b.marker_pairs(spark, d)), "G1")
+    return filter_phase(b.counts(spark, d), _phases(spark, d), "G1")
 
 
 @query("filtered_trend", sql("counts", """SELECT COUNT(*) AS rows, CAST(SUM(count) AS BIGINT) AS total FROM counts WHERE gene IN

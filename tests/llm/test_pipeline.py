@@ -1,10 +1,12 @@
+import os
 import random
 from collections import defaultdict
+from fractions import Fraction
 
 import pyarrow as pa
 
 import corpus_pipeline
-from cellweave.llm import line_dedup, quality
+from cellweave.llm import jaccard_join, line_dedup, quality
 from harness import write
 
 
@@ -23,7 +25,8 @@ def test_stages_keep_clean_and_drop_bad(spark, tmp_path):
     ids = []
     columns = docs.columns
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, folder)
+        stage(spark, docs, folder).write.parquet(f"{folder}/out/{name}")
+        docs = spark.read.parquet(f"{folder}/out/{name}")
         assert docs.columns == columns
         ids.append(sorted(r.doc_id for r in docs.select("doc_id").collect()))
     # 30-33 fail the rules; 35 is a whole copy; 34 is a near copy; 36 holds the item; 37 loses its copied lines and stays
@@ -58,3 +61,29 @@ def test_near_copies_of_five_words_and_four_fifths(spark, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, folder)
     assert sorted(r.doc_id for r in kept.collect()) == [*range(12), 14]
+
+
+def test_one_of_repeated_rows_null_ids_and_reused_ids(spark):
+    """Names that the stages use inside pass through as well."""
+    text = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, text, "a"), (1, text, "a"), (None, text, "b"), (None, other, "c"), (None, other, "c"), (2, other + " x", "d"), (2, text, "e"), (3, "", "f"), (3, "", "f"), (4, None, "g")]
+    names = ["_row", "_key", "_slot", "_head", "component_id", "cid", "d1", "_d1", "_gone", "_deleted", "_lines", "g", "n", "root"]
+    docs = spark.createDataFrame([(*r, *range(len(names))) for r in rows], "doc_id long, text string, source string, " + ", ".join(f"`{n}` long" for n in names))
+    kept = jaccard_join.keep_one(docs, 5, Fraction(4, 5))
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text or "", r.source, r["_gone"]) for r in kept.collect())
+    gone = names.index("_gone")
+    assert got == sorted([(1, text, "a", gone), (2, other + " x", "d", gone), (3, "", "f", gone), (3, "", "f", gone), (4, "", "g", gone)])
+    first = line_dedup.keep_first_copies(docs)
+    assert first.columns == docs.columns and {r["_d1"] for r in first.collect()} == {names.index("_d1")}
+
+
+def test_stages_leave_no_tables_behind(spark, tmp_path):
+    folder = write(tmp_path, documents={"doc_id": [1], "text": ["x"]}, benchmark={"item_id": [1], "text": ["y"]})
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    root = spark.sparkContext.getCheckpointDir()
+    names = lambda: {f for f in os.listdir(root.removeprefix("file:")) if not f.startswith("rdd-")}
+    before = names()
+    rows = corpus_pipeline.run(spark, folder)
+    assert names() - before == {rows.stored_at.rsplit("/", 1)[1]} and docs.count() == 1
