@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
-from cellweave.operators import clustering, distance, normalize, projection, ranking, summaries, variance
+from cellweave.operators import clustering, distance, heatmap, normalize, projection, ranking, summaries, variance
 from cellweave.operators.filters import filter_min_total
 from cellweave.plans import bindings as b
 from cellweave.plans.bindings import sql
@@ -310,6 +312,28 @@ def _(spark, d):
     return clustering.leaf_order(_tree(spark, d))
 
 
+def _named_tree(name, distances):
+    """The tree of another set of distances, its tables named apart."""
+    body = distances + ", " + _WARD[_WARD.index("nm AS"):].replace("{height}", "h") + _PATHS.replace("{kept}", "true")
+    return re.sub(r"\b(dm|nm|ix|fm|walk|merges|links|path|rooted)\b", rf"\1_{name}", body)
+
+
+_APART = """, dm AS (SELECT a.{x} AS i, z.{x} AS j, sqrt(SUM((a.v - z.v) * (a.v - z.v))) AS d FROM ce a JOIN ce z ON a.{y} = z.{y} AND a.{x} < z.{x} GROUP BY 1, 2)"""
+
+
+@query("heatmap_matrix", sql("counts library size cells", _LOGNORM + """,
+tp AS (SELECT gene FROM (SELECT gene, SUM(value) AS s, SUM(value * value) AS ss FROM logs GROUP BY gene), size ORDER BY (ss - s * s / n_cells) / (n_cells - 1) DESC, gene LIMIT 35),
+gr AS (SELECT tp.gene, cells.cell, COALESCE(logs.value, 0) AS v FROM tp CROSS JOIN cells LEFT JOIN logs ON logs.gene = tp.gene AND logs.cell = cells.cell),
+ce AS (SELECT gene, cell, v - AVG(v) OVER (PARTITION BY gene) AS v FROM gr)""" + _named_tree("c", _APART.format(x="cell", y="gene"))
+    + _named_tree("g", _APART.format(x="gene", y="cell")) + """
+SELECT gene, ce.cell, CAST(g.off + 1 AS BIGINT) AS gene_position, CAST(c.off + 1 AS BIGINT) AS cell_position, round(v, 6) AS value, factor AS label
+FROM ce JOIN rooted_g g ON g.cell = ce.gene JOIN rooted_c c ON c.cell = ce.cell JOIN cells ON cells.cell = ce.cell""").replace("WITH ", "WITH RECURSIVE ", 1))
+def _(spark, d):
+    logs = _logs(spark, d)
+    table = heatmap.heatmap_matrix(logs, ranking.top_variance_genes(logs, 35, "value"), b.cells(spark, d), "factor")
+    return table.select("gene", "cell", "gene_position", "cell_position", *rounded("value"), "label")
+
+
 @query("components", """WITH RECURSIVE e AS (SELECT DISTINCT c_custkey AS a, c_nationkey + 1000000 AS z FROM customer),
 b AS (SELECT a AS x, z AS y FROM e UNION SELECT z, a FROM e), walk AS (SELECT x AS node, x AS reach FROM b UNION SELECT node, y FROM walk JOIN b ON reach = x)
 SELECT node, MIN(reach) AS component FROM walk GROUP BY node""")
