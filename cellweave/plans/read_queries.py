@@ -281,6 +281,39 @@ def _(spark, d):
     return readers.read_count_files(spark, f"{folder}/htseq_*_results.txt")
 
 
+def _damaged_files(spark, d, folder):
+    """Count files of the runs in which every eleventh gene has no count, every thirteenth two."""
+    text = F.when(F.col("gene") % 11 == 0, "NA").when(F.col("gene") % 13 == 0, F.concat_ws("\t", "count", "count")).otherwise(F.col("count").cast("string"))
+    lines = b.run_counts(spark, d).select("run", F.concat_ws("\t", "gene", text).alias("value"))
+    for k in range(1, 8):
+        lines.filter(F.col("run") == str(k)).select("value").write.text(f"{folder}/htseq_{k}_results.txt")
+    return f"{folder}/htseq_*_results.txt"
+
+
+_IS_DAMAGED = "(gene % 11 = 0 OR gene % 13 = 0)"
+
+
+@query("count_file_report", sql("run_counts", f"""SELECT run, CAST(COUNT(*) FILTER (NOT {_IS_DAMAGED}) AS BIGINT) AS rows,
+CAST(COUNT(*) FILTER ({_IS_DAMAGED}) AS BIGINT) AS malformed, CAST(0 AS BIGINT) AS skipped FROM run_counts GROUP BY run"""))
+def _(spark, d):
+    report = readers.count_file_report(spark, _damaged_files(spark, d, b.scratch(spark)))
+    return report.groupBy("run").agg(F.sum("rows").alias("rows"), F.sum("malformed").alias("malformed"), F.count_if("skipped").alias("skipped"))
+
+
+@query("damaged_count_lines", sql("run_counts", f"""SELECT run, concat(gene, chr(9), CASE WHEN gene % 11 = 0 THEN 'NA' ELSE concat(count, chr(9), count) END) AS line
+FROM run_counts WHERE {_IS_DAMAGED}"""))
+def _(spark, d):
+    return readers.damaged_count_lines(spark, _damaged_files(spark, d, b.scratch(spark))).select("run", "line")
+
+
+@query("stream_damaged", sql("run_counts", f"SELECT run, COUNT(*) AS malformed FROM run_counts WHERE {_IS_DAMAGED} GROUP BY run"))
+def _(spark, d):
+    folder = b.scratch(spark)
+    stream = ingest.stream_damaged(spark, _damaged_files(spark, d, f"{folder}/in"), 3)
+    ingest.ingest_counts(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").groupBy("run").agg(F.count("*").alias("malformed"))
+
+
 @query("read_matrix", sql("counts", "SELECT CAST(gene AS VARCHAR) AS gene, CAST(cell AS VARCHAR) AS cell, count FROM counts"))
 def _(spark, d):
     folder = b.scratch(spark)

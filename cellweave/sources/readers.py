@@ -82,12 +82,51 @@ def read_fastq_paired(spark: SparkSession, paths) -> DataFrame:
     return pair_mates(read_fastq(spark, paths))
 
 
+def parsed_counts(lines: DataFrame) -> DataFrame:
+    """``(path, run, gene, count, line)`` of text lines ``(path, line)`` of two-column count files.
+
+    A line has a name and a whole number with one tab between them; any other line that is not blank has no gene and no count.
+    """
+    fields = F.split(F.regexp_replace("line", "\r$", ""), "\t")
+    gene, number = F.trim(_unquote(F.get(fields, F.lit(0)))), F.trim(_unquote(F.get(fields, F.lit(1))))
+    whole = number.rlike(r"^[+-]?[0-9]+$") & number.try_cast("bigint").isNotNull()
+    good = (F.size(fields) == 2) & (gene != "") & whole
+    return lines.filter(F.trim(F.regexp_replace("line", r"\s", "")) != "").select(
+        "path", run_from_path("path", "htseq").alias("run"), F.when(good, gene).alias("gene"), F.when(good, number.try_cast("bigint")).alias("count"), "line")
+
+
+def _count_lines(spark: SparkSession, paths) -> DataFrame:
+    lines = spark.read.option("ignoreCorruptFiles", "true").text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+    return parsed_counts(lines)
+
+
 def read_count_files(spark: SparkSession, paths) -> DataFrame:
-    """``counts_raw(run, gene, count)`` of headerless two-column files named ``htseq_<run>_results.txt``."""
-    table = spark.read.option("ignoreCorruptFiles", "true").csv(
-        paths, sep="\t", schema="gene string, count bigint", mode="DROPMALFORMED")
-    return table.select(run_from_path(F.col("_metadata.file_path"), "htseq").alias("run"), "gene", "count").filter(
-        F.col("gene").isNotNull() & F.col("count").isNotNull())
+    """``counts_raw(run, gene, count)`` of headerless two-column files named ``htseq_<run>_results.txt``.
+
+    Unreadable files and lines that hold no count are left out; ``count_file_report`` and ``damaged_count_lines`` name them.
+    """
+    return _count_lines(spark, paths).filter(F.col("gene").isNotNull()).select("run", "gene", "count")
+
+
+def damaged_count_lines(spark: SparkSession, paths) -> DataFrame:
+    """``(path, run, line)``: lines of count files that ``read_count_files`` leaves out."""
+    return _count_lines(spark, paths).filter(F.col("gene").isNull()).select("path", "run", "line")
+
+
+def count_file_report(spark: SparkSession, paths) -> DataFrame:
+    """One row per file: ``path, run, bytes, rows, malformed, skipped``. Spark lists no files of 0 bytes, so they have no row.
+
+    A file is skipped if it gave no line, as a damaged archive does. Lines before a damaged place are kept and counted.
+    Only names and sizes are listed for the files, and one row per file and task is shuffled.
+    """
+    path = F.col("_metadata.file_path")
+    listed = spark.read.format("binaryFile").load(paths).select(path.alias("path"), F.col("_metadata.file_size").alias("bytes"))
+    lines = _count_lines(spark, paths).groupBy("path").agg(
+        F.count("gene").alias("rows"), F.count_if(F.col("gene").isNull()).alias("malformed"), F.count("*").alias("_lines"))
+    none = F.lit(0).cast("bigint")
+    return listed.join(lines, "path", "left").select(
+        "path", run_from_path("path", "htseq").alias("run"), "bytes", F.coalesce("rows", none).alias("rows"),
+        F.coalesce("malformed", none).alias("malformed"), F.col("_lines").isNull().alias("skipped"))
 
 
 def _wide_rows(spark: SparkSession, paths) -> DataFrame:

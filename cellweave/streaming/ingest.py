@@ -6,19 +6,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from cellweave.functions.columns import run_from_path
+from cellweave.sources.readers import parsed_counts
+
+
+METRICS = "count_files"
+
+
+def _stream_lines(spark: SparkSession, folder: str, batch_size: int) -> DataFrame:
+    lines = spark.readStream.option("maxFilesPerTrigger", batch_size).option("ignoreCorruptFiles", "true").text(folder)
+    return parsed_counts(lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line")))
 
 
 def stream_counts(spark: SparkSession, folder: str, batch_size: int = 100) -> DataFrame:
     """Stream ``counts_raw(run, gene, count)``: ``batch_size`` new files per micro-batch.
 
-    The checkpoint of the writing query remembers finished files, which is the skip rule.
+    The checkpoint of the writing query remembers finished files, which is the skip rule. Lines without a count are left out, as in
+    batch reading; every progress report of the query counts them (``lines_of``), and ``stream_damaged`` streams the lines themselves.
     """
-    table = spark.readStream.schema("gene string, count bigint").option("sep", "\t").option(
-        "mode", "DROPMALFORMED").option("maxFilesPerTrigger", batch_size).csv(folder)
-    run = run_from_path(F.col("_metadata.file_path"), "htseq")
-    return table.select(run.alias("run"), "gene", "count").filter(
-        F.col("count").isNotNull() & ~F.col("gene").startswith("__"))
+    lines = _stream_lines(spark, folder, batch_size).observe(
+        METRICS, F.count("gene").alias("rows"), F.count_if(F.col("gene").isNull()).alias("malformed"))
+    return lines.filter(F.col("gene").isNotNull() & ~F.col("gene").startswith("__")).select("run", "gene", "count")
+
+
+def stream_damaged(spark: SparkSession, folder: str, batch_size: int = 100) -> DataFrame:
+    """Stream ``(path, run, line)`` of lines that ``stream_counts`` leaves out, for a side table."""
+    return _stream_lines(spark, folder, batch_size).filter(F.col("gene").isNull()).select("path", "run", "line")
+
+
+def lines_of(query: StreamingQuery) -> dict[str, int]:
+    """Rows and malformed lines of the reported micro-batches of a query on ``stream_counts``."""
+    total = {"rows": 0, "malformed": 0}
+    for report in query.recentProgress:
+        seen = report.observedMetrics.get(METRICS)
+        if seen is not None:
+            for name in total:
+                total[name] += seen[name]
+    return total
 
 
 def ingest_counts(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
