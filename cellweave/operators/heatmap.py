@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from cellweave.context import scalar, settle
 from cellweave.operators.clustering import leaf_order, ward
 from cellweave.operators.distance import euclidean
+from cellweave.operators.grids import spread
 from cellweave.operators.ranking import restrict_genes
 
-_SPAN = 1 << 16  # columns that one array spreads
-
 
 def with_silent(assay: DataFrame, genes: DataFrame, cells: DataFrame, value: str = "value") -> DataFrame:
     """``(gene, cell, value)`` of the chosen genes and cells; a gene or cell without any value gets one stored zero, so that it stays."""
@@ -48,10 +47,7 @@ def heatmap_matrix(assay: DataFrame, genes: DataFrame, cells: DataFrame, label:
     means = settle(stored.groupBy("gene").agg(F.sum("value").alias("_s")).withColumn("_n", n).select("gene", "_n", (F.col("_s") / F.col("_n")).alias("mean")))
     across = settle(_places(stored, euclidean(stored), "cell", variant))
     down = _places(means, gene_distances(stored, means, n), "gene", variant)
-    spans = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / _SPAN)))
-    rows = means.filter("_n > 0").join(down, "gene").withColumn("_c", spans)
-    places = F.sequence(F.col("_c") * _SPAN + 1, F.least(F.col("_n"), (F.col("_c") + 1) * _SPAN))
-    grid = rows.select("gene", "gene_position", "mean", F.explode(places).alias("cell_position"))
+    grid = spread(means.join(down, "gene"), F.lit(1), F.col("_n"), "cell_position").drop("_n")
     placed = stored.join(across, "cell").select("gene", "cell_position", "value")
     columns = across.join(cells.select("cell", F.col(label).alias("label")), "cell")
     return grid.join(placed, ["gene", "cell_position"], "left").join(columns, "cell_position").select(

@@ -22,6 +22,7 @@ from cellweave.context import scalar, settle, split_count
 from cellweave.functions import nb
 from cellweave.functions.columns import lgamma
 from cellweave.functions.tails import chi2_tail, f_quantile, trigamma
+from cellweave.operators.grids import over_cells
 from cellweave.operators.ordering import quantiles, value_ranks
 from cellweave.operators.ranking import bh_adjust
 from cellweave.operators.summaries import group_stats, library_size
@@ -438,7 +439,7 @@ def cooks(counts: DataFrame, ready: Prepared, fitted: DataFrame, cells: DataFram
     chosen = ready.numbered.join(cells.select("cell"), "cell", "left_semi").select("cell", "row", "size_factor")
     rows = fitted.select("gene", "dispersion", F.posexplode(F.arrays_zip("eta", "leverage")).alias("row", "at")).select(
         "gene", "dispersion", "row", "at.eta", "at.leverage")
-    dense = rows.join(chosen, "row")
+    dense = over_cells(rows, chosen, "row")
     joined = dense.join(counts, ["gene", "cell"], "left").withColumn(
         "mu", F.exp("eta") * F.col("size_factor"))
     variance = F.col("mu") + F.col("dispersion") * F.col("mu") * F.col("mu")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.context import distinct_total, scalar, settle
+from cellweave.operators.grids import over_cells
 from cellweave.operators.ordering import quantiles, value_ranks
 from cellweave.operators.ranking import pool_windows, ring_order
 from cellweave.operators.summaries import library_size
@@ -292,7 +293,7 @@ def remove_batch(assay: DataFrame, cells: DataFrame, batch: str, value: str = "v
     """Dense result: every gene x cell value minus the shift of the cell's batch."""
     shifts = batch_shift(assay, cells, batch, value)
     labelled = cells.select("cell", F.col(batch).alias("batch"))
-    dense = shifts.join(labelled, "batch")
+    dense = over_cells(shifts, labelled, "batch")
     stored = assay.select("gene", "cell", F.col(value).alias("_x"))
     return dense.join(stored, ["gene", "cell"], "left").select(
         "gene", "cell", (F.coalesce("_x", F.lit(0.0)) - F.col("shift")).alias("value"))

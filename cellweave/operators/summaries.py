@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from cellweave.context import distinct_total, scalar, settle
+from cellweave.operators.grids import over_cells
 from cellweave.operators.ordering import quantiles, row_numbers
 
 
@@ -270,8 +271,7 @@ def center_rows(assay: DataFrame, cells: DataFrame, value: str = "count", scale:
     """
     n = scalar(cells.agg(F.count("*").alias("n")))
     moments = gene_variance(assay, value, n)
-    cell_list = cells.select("cell")
-    grid = _dense_grid(moments, cell_list)
+    grid = over_cells(moments, cells.select("cell"))
     joined = grid.join(assay.select("gene", "cell", F.col(value).alias("_x")), ["gene", "cell"], "left")
     centered = F.coalesce(F.col("_x").cast("double"), F.lit(0.0)) - F.col("mean")
     if scale:
@@ -279,15 +279,6 @@ def center_rows(assay: DataFrame, cells: DataFrame, value: str = "count", scale:
     return joined.select("gene", "cell", centered.alias("value"))
 
 
-def _dense_grid(genes: DataFrame, cells: DataFrame, chunk: int = 4096) -> DataFrame:
-    """Every gene with every cell, joined through cell chunks: the dense result is wanted here."""
-    chunks = F.greatest(F.lit(1), F.ceil(scalar(cells.agg(F.count("*"))) / chunk)).cast("int")
-    dealt = cells.withColumn("_chunk", F.pmod(F.xxhash64("cell"), chunks).cast("int"))
-    spread = genes.withColumn("_n", chunks).withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
-    return spread.join(dealt, "_chunk").drop("_chunk")
-
-
 def scale_rows(assay: DataFrame, cells: DataFrame, value: str = "count") -> DataFrame:
     return center_rows(assay, cells, value, scale=True)
 
