@@ -151,6 +151,16 @@ def pd_rows(texts, langs):
     return [(i % 50, t, g, "x", "y") for i, (t, g) in enumerate(zip(texts, langs))]
 
 
+@pytest.mark.parametrize("bits", [6, 10])
+def test_collocations_count_rare_words_before_common_pairs(spark, bits):
+    """A rare first word is reached late, when a shared slot has already let the longer phrase start."""
+    texts = [f"a{i} b{i % 20} c{i % 20} d{i % 5}" for i in range(300)] * 14
+    docs = spark.createDataFrame(pd_rows(texts, ["en"] * len(texts)), "doc_id long, text string, lang string, n string, slot string")
+    got = collocations.phrase_counts(docs, least=12, slot_bits=bits).where("length > 0").collect()
+    want = Counter(" ".join(t.split()[i:j]) for t in texts for i in range(4) for j in range(i + 1, 5))
+    assert {r["phrase"]: r["n"] for r in got} == {p: a for p, a in want.items() if a >= 12}
+
+
 def test_op13_equals_sql(spark, tmp_path):
     texts = [f"{t} word{i % 7} New York city, new york" for i, t in enumerate(["in the end"] * 120)] + ODD[:-2]
     folder = write(tmp_path, documents=documents(texts, phrase=["x"] * len(texts)))
