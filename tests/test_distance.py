@@ -1,3 +1,6 @@
+import numpy as np
+import pandas as pd
+
 from cellweave.operators import distance
 
 
@@ -5,3 +8,33 @@ def test_flat_cell_has_no_correlation_distance(spark):
     rows = [(g, c, float(v)) for c, own in enumerate([(2, 2, 2), (1, 5, 9), (9, 5, 1)]) for g, v in enumerate(own)]
     got = {(r.i, r.j): r.d for r in distance.pearson_distance(spark.createDataFrame(rows, "gene long, cell long, value double")).collect()}
     assert got[(0, 1)] is None and got[(0, 2)] is None and abs(got[(1, 2)] - 2.0) < 1e-9
+
+
+def test_finished_pairs_are_not_shuffled(spark):
+    """Sparse, dense and string items; only blocks are shuffled, never rows of pairs."""
+    rng = np.random.default_rng(5)
+    for share in (0.02, 0.9):
+        x = rng.poisson(3.0, (40, 90)) * (rng.random((40, 90)) < share) + (np.arange(90) == 0) * 1.0
+        x[7] = 0
+        i, j = np.nonzero(x)
+        rows = pd.DataFrame({"cell": [f"c{k:02d}" for k in i], "gene": j, "value": x[i, j]})
+        rows.loc[len(rows)] = ["c07", 3, 0.0]
+        got = distance.euclidean(spark.createDataFrame(rows), block=9)
+        table = got.toPandas()
+        a, b = table.i.str[1:].astype(int), table.j.str[1:].astype(int)
+        assert len(table) == 40 * 39 // 2 and (table.i < table.j).all()
+        assert np.allclose(table.d, np.linalg.norm(x[a] - x[b], axis=1))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[:plan.index("MapInPandas")]
+
+
+def test_labels_shuffle_no_pair(spark):
+    rows = [(g, c, float(v)) for c, own in enumerate([(2, 1, 2), (1, 5, 9), (9, 5, 1)]) for g, v in enumerate(own)]
+    pairs = distance.pearson_distance(spark.createDataFrame(rows, "gene long, cell long, value double"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = distance.heatmap_distances(pairs, spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "cell long, kind string"), "kind")
+        assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.i, r.j, r.label_i, r.label_j) for r in got.collect()) == [(0, 1, "a", "b"), (0, 2, "a", "c"), (1, 2, "b", "c")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
