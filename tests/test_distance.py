@@ -1,7 +1,9 @@
+import itertools
+
 import numpy as np
 import pandas as pd
 
-from cellweave.operators import distance
+from cellweave.operators import distance, lookups
 
 
 def test_flat_cell_has_no_correlation_distance(spark):
@@ -38,3 +40,9 @@ def test_labels_shuffle_no_pair(spark):
         assert sorted((r.i, r.j, r.label_i, r.label_j) for r in got.collect()) == [(0, 1, "a", "b"), (0, 2, "a", "c"), (1, 2, "b", "c")]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_gene_pairs_are_never_broadcast(spark):
+    got = lookups.gene_pairs(spark.range(0, 300, 3).withColumnRenamed("id", "gene"), block_rows=9)
+    assert sorted(map(tuple, got.collect())) == list(itertools.combinations(range(0, 300, 3), 2))
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
