@@ -3,7 +3,7 @@ import itertools
 import numpy as np
 import pandas as pd
 
-from cellweave.operators import distance, lookups
+from cellweave.operators import distance, lookups, variance
 
 
 def test_flat_cell_has_no_correlation_distance(spark):
@@ -46,3 +46,10 @@ def test_gene_pairs_are_never_broadcast(spark):
     got = lookups.gene_pairs(spark.range(0, 300, 3).withColumnRenamed("id", "gene"), block_rows=9)
     assert sorted(map(tuple, got.collect())) == list(itertools.combinations(range(0, 300, 3), 2))
     assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_null_correlations_below_two_cells(spark):
+    """As when a filter has left no gene and so no cell."""
+    assert [r.rho for n in (0, 1) for r in variance.null_correlations(spark, n, draws=2).collect()] == [None] * 4
+    nothing = spark.createDataFrame([], "gene long, cell long, value double")
+    assert variance.correlate_pairs(nothing, nothing, n_cells=0, draws=10).count() == 0
