@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 
 import numpy as np
@@ -53,3 +54,13 @@ def test_no_null_correlations_below_two_cells(spark):
     assert [r.rho for n in (0, 1) for r in variance.null_correlations(spark, n, draws=2).collect()] == [None] * 4
     nothing = spark.createDataFrame([], "gene long, cell long, value double")
     assert variance.correlate_pairs(nothing, nothing, n_cells=0, draws=10).count() == 0
+
+
+def test_null_correlations_follow_the_order_of_the_digests(spark):
+    got = variance.null_correlations(spark, 41, draws=30, seed=7)
+    assert "MapInPandas" in got._jdf.queryExecution().executedPlan().toString()  # arrays of numbers, not one struct a place
+    want = []
+    for draw in range(30):
+        order = sorted(range(1, 42), key=lambda k: hashlib.md5(f"7-{draw}-{k}".encode()).hexdigest())
+        want.append(1.0 - 6.0 * sum((x - k) ** 2 for k, x in enumerate(order, 1)) / (41 * (41 * 41 - 1.0)))
+    assert sorted(r.rho for r in got.collect()) == sorted(want)
