@@ -348,10 +348,11 @@ def nb_dispersion(counts: DataFrame, groups: DataFrame, prior_n: float = 10.0,
     scale = library.join(groups, "cell").select(
         "cell", "group", (F.exp(center) / F.col("total_counts")).alias("_scale"))
     sizes = groups.groupBy("group").agg(F.count("*").cast("double").alias("n"))
-    # Every row is evaluated on the whole grid: spread rows over all tasks, whatever their bytes.
+    # Every row is evaluated on the whole grid: spread genes over all tasks, whatever their bytes. A gene's rows stay together, as
+    # curves of a gene's parts in many tasks would be shuffled with a row a grid point each.
     tasks = split_count(counts.sparkSession)
     pseudo = counts.filter("count > 0").join(scale, "cell").select(
-        "gene", "cell", "group", (F.col("count") * F.col("_scale")).alias("y")).repartition(tasks, "gene", "cell")
+        "gene", "cell", "group", (F.col("count") * F.col("_scale")).alias("y")).repartition(tasks, "gene")
     sizes_on_grid = [2.0 ** -(low + (high - low) / (points - 1) * k) for k in range(points)]
     at = F.explode(F.array(*[
         F.struct(F.lit(k).alias("at"), F.lit(r).alias("size"), F.lit(math.lgamma(r)).alias("base"))

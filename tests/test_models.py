@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -178,3 +179,18 @@ def test_method_names():
     assert analyses.split_method("DESeq:TMM") == ("deseq", "tmm")
     with pytest.raises(ValueError):
         analyses.split_method("Scatter:Default")
+
+
+def test_dispersion_curves_are_added_up_where_their_gene_is(spark, monkeypatch):
+    """Only finished curves are shuffled by gene and grid point, not those of a gene's parts."""
+    plans = []
+
+    def settle(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(models, "settle", settle)
+    counts = spark.createDataFrame([(g, c, 1 + (g * c) % 5) for g in range(6) for c in range(8)], "gene long, cell long, count long")
+    groups = spark.createDataFrame([(c, "ab"[c % 2]) for c in range(8)], "cell long, group string")
+    assert models.nb_dispersion(counts, groups).count() == 6
+    assert not re.search(r"hashpartitioning\(gene#\d+L, cell#\d+L, \d+\), REPARTITION_BY_NUM", plans[0])
