@@ -4,8 +4,8 @@ Texts rarely break where a repeated passage begins, so a paragraph is a content-
 hash of three words is the least among its neighbours, which depends on the passage alone. A piece is the set of
 its five-word shingles. Four bands of two MinHash values meet pieces with a Jaccard similarity of 0.8 with a chance
 of 1 - (1 - 0.64)^4 = 0.983, and equal pieces always. In each band bucket every piece is verified against one piece
-first; pieces that stay unconnected are then verified pair by pair, in blocks, so no link between different pieces is
-lost to the short cut. A cluster is a component of the links; its first place (by doc_id, then place) stays, all others are copies.
+first; pieces that stay unconnected then meet by signatures (equal parts of their sets, which similar sets always share) and
+are verified pair by pair, in blocks, so no link between different pieces is lost to the short cut. A cluster is a component of the links; its first place (by doc_id, then place) stays, all others are copies.
 Neighbouring copies of one text are joined to a passage, across a short gap (an altered or very short piece), and
 passages of ``min_words`` or more are removed.
 
@@ -286,16 +286,100 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return stored(both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "similar")
 
 
-def _rest(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of a bucket that aren't connected yet, block against block."""
+def _parts(n: np.ndarray) -> np.ndarray:
+    """Numbers of parts of a set's signatures, by the set's size (-1: none).
+
+    Sets of s and m >= s elements with a similarity of 0.8 differ in (s + m) / 9 elements at most and m <= 5 s / 4, so one of more
+    parts than that is equal. A set meets smaller ones down to 4/5 of its size: it is cut once for every s.
+    """
+    s = np.maximum(n[:, None] - np.arange(int(n.max()) // 5 + 1), 0)
+    parts = np.where(5 * s >= 4 * n[:, None], (s + 5 * s // 4) // 9 + 1, -1)
+    power = 1 << np.ceil(np.log2(np.maximum(parts, 1))).astype(np.int64)  # a few numbers only: more parts do no harm
+    parts = np.where(parts > 4, np.where(4 * parts <= 3 * power, power * 3 // 4, power), parts)
+    parts = np.sort(parts, axis=1)
+    parts[:, 1:][parts[:, 1:] == parts[:, :-1]] = -1
+    return parts
+
+
+def signatures(sets: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and the set of each: two sets with a similarity of 0.8 or more always share a key.
+
+    Elements are dealt to parts by hash and every part that is not empty is a key. A set with an empty part is dealt again by
+    another hash, and then gives the least of its elements, of which similar sets share one.
+    """
+    sizes = np.array([len(x) // 8 for x in sets], np.int64)
+    members = np.frombuffer(b"".join(sets), np.uint64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    parts = _parts(sizes)
+    keys, owners = [], []
+    scarce = np.zeros(len(sets), bool)
+    for k in np.unique(parts[parts > 0]).tolist():
+        needs = (parts == k).any(axis=1)
+        for level in range(2):
+            own, at = members[needs[owner]], owner[needs[owner]]
+            part = (mix(own * _SEEDS[2 * level]) >> np.uint64(32)).astype(np.int64) % k
+            order = np.argsort(at * k + part, kind="stable")
+            cell = (at * k + part)[order]
+            begins = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])[:len(cell)])
+            sums = np.add.reduceat(mix(own[order] * _SEEDS[2 * level + 1]), begins) if len(begins) else np.zeros(0, np.uint64)
+            cell = cell[begins]
+            keys.append(mix(sums + mix((cell % k + (k << 20) + (level << 60)).astype(np.uint64))))
+            owners.append(cell // k)
+            needs = needs & (np.bincount(cell // k, minlength=len(sets)) < k)
+        scarce |= needs
+    own, at = mix(members[scarce[owner]] ^ _SEEDS[4]), owner[scarce[owner]]
+    order = np.lexsort((own, at))
+    own, at = own[order], at[order]
+    place = np.arange(len(at)) - np.searchsorted(at, at)
+    least = place <= sizes[at] - (4 * sizes[at] + 4) // 5
+    return np.concatenate([*keys, own[least]]), np.concatenate([*owners, at[least]])
+
+
+def sketches(sets: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """128 parities per set, as two numbers: two sets differ in at least as many elements as their parities do."""
+    sizes = np.array([len(x) // 8 for x in sets], np.int64)
+    spot = mix(np.frombuffer(b"".join(sets), np.uint64) ^ _SEEDS[5])
+    bit, high = np.uint64(1) << (spot & np.uint64(63)), (spot >> np.uint64(6)) & np.uint64(1)
+    begins = np.cumsum(sizes) - sizes
+    return tuple(np.bitwise_xor.reduceat(np.where(high == side, bit, np.uint64(0)), begins).view(np.int64) for side in (0, 1))
+
+
+def _rest(buckets: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of pieces of open buckets that aren't connected yet and may be similar.
+
+    A bucket is not paired whole: pieces of open buckets meet by signatures, which lose no similar pair and which pieces that
+    share some words rarely have in common. Sizes and sketches drop most other pairs before they are shuffled.
+    """
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column("set").to_pylist()
+            if not own:
+                continue
+            keys, at = signatures(own)
+            low, high = sketches(own)
+            at = pa.array(at, pa.int64())
+            rows = [batch.column("name"), batch.column("root"), pa.array([len(x) // 8 for x in own], pa.int32()), pa.array(low), pa.array(high)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *[c.take(at) for c in rows]],
+                                             names=["key", "name", "root", "size", "low", "high"])
+
     rows = buckets.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
-    open_ = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m")).where("low <> high")
-    rows = rows.join(open_.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "key")
+    mixed = F.min("root").alias("_least"), F.max("root").alias("_most")
+    open_ = rows.groupBy("key").agg(*mixed).where("_least <> _most").select("key")
+    names = rows.join(open_, "key").select("name", "root").distinct()
+    signed = stored(names.join(sets, "name").mapInArrow(make, "key long, name long, root long, size int, low long, high long"), "signatures")
+    open_ = signed.groupBy("key").agg(*mixed, F.count("*").alias("m")).where("_least <> _most")
+    rows = signed.join(open_.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "key")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = rows.select("key", F.col("own").alias("x"), other.alias("y"), F.col("name").alias("a"), "root")
-    right = rows.select("key", F.col("own").alias("y"), other.alias("x"), F.col("name").alias("b"), F.col("root").alias("root2"))
-    return left.join(right, ["key", "x", "y"]).where("a < b and root <> root2").select("a", "b").distinct()
+    left = rows.select("key", F.col("own").alias("x"), other.alias("y"), F.col("name").alias("a"), "root", "size", "low", "high")
+    right = rows.select("key", F.col("own").alias("y"), other.alias("x"), F.col("name").alias("b"), F.col("root").alias("root2"),
+                        F.col("size").alias("size2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    near = F.expr("a < b and root <> root2 and 5 * size >= 4 * size2 and 5 * size2 >= 4 * size"
+                  " and 9 * (bit_count(low ^ low2) + bit_count(high ^ high2)) <= size + size2")
+    pairs = stored(left.join(right, ["key", "x", "y"]).where(near).select("a", "b").distinct(), "rest")
+    discard(signed)
+    return pairs
 
 
 def copies(docs: DataFrame) -> DataFrame:
@@ -323,7 +407,7 @@ def copies(docs: DataFrame) -> DataFrame:
     stars = buckets.join(best, "key").where("name <> pivot").select(F.col("pivot").alias("a"), F.col("name").alias("b")).distinct()
     links = _similar(stars, sets)
     roots = stored(components(links), "roots")
-    more = stored(_rest(buckets, roots), "rest")
+    more = _rest(buckets, roots, sets)
     if not more.isEmpty():
         roots = stored(components(links.unionByName(_similar(more, sets))), "roots")
     clustered = places.drop("set").distinct().join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("cluster", F.coalesce("root", "name")).drop("root", "name")

@@ -119,3 +119,37 @@ def test_runs_end_with_their_texts(spark):
     got = {(r.doc_id, r["first"], r["last"]) for r in sd.exact_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert (2, 0, 30) in got and got <= {(2, 0, 30), (3, 3, 33)}
     assert sd.exact_runs(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_similar_sets_share_a_signature():
+    rng, sets, similar = np.random.default_rng(1), [], []
+    for _ in range(6000):
+        m = int(rng.integers(1, 90 if rng.random() < 0.3 else 16))
+        x = rng.integers(0, 1 << 63, m, dtype=np.uint64)
+        keep = x[int(rng.integers(0, m // 4 + 2)):]
+        y = np.unique(np.concatenate([keep, rng.integers(0, 1 << 63, int(rng.integers(0, m // 4 + 2)), dtype=np.uint64)]))
+        both = len(np.intersect1d(x, y))
+        if len(y) and 10 * both >= 8 * (m + len(y) - both):
+            similar.append((len(sets), len(sets) + 1))
+            sets += [np.sort(x).tobytes(), y.tobytes()]
+    keys, owner = sd.signatures(sets)
+    low, high = (s.tolist() for s in sd.sketches(sets))
+    own = defaultdict(set)
+    for key, at in zip(keys.tolist(), owner.tolist()):
+        own[at].add(key)
+    assert len(similar) > 1000
+    for a, b in similar:
+        apart = ((low[a] ^ low[b]) % 2**64).bit_count() + ((high[a] ^ high[b]) % 2**64).bit_count()
+        assert own[a] & own[b] and 9 * apart * 8 <= len(sets[a]) + len(sets[b])
+
+
+def test_pieces_that_share_a_band_only_are_not_paired_whole(spark, tmp_path):
+    """300 unlike pieces with some shingles in common meet in one bucket: 44,850 pairs, two of them similar."""
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 1 << 63, 4, dtype=np.uint64)
+    sets = [np.append(common, rng.integers(0, 1 << 63, 4, dtype=np.uint64)) for _ in range(298)]
+    sets += [np.append(sets[5], np.uint64(7)), np.append(sets[9], np.uint64(8))]
+    names = spark.createDataFrame([(i, bytearray(np.sort(s).tobytes())) for i, s in enumerate(sets)], "name long, set binary")
+    none = spark.createDataFrame([], "node long, root long")
+    got = {tuple(r) for r in sd._rest(names.selectExpr("1L AS key", "name"), none, names).collect()}
+    assert {(5, 298), (9, 299)} <= got and len(got) < 20
