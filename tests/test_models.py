@@ -194,3 +194,36 @@ def test_dispersion_curves_are_added_up_where_their_gene_is(spark, monkeypatch):
     groups = spark.createDataFrame([(c, "ab"[c % 2]) for c in range(8)], "cell long, group string")
     assert models.nb_dispersion(counts, groups).count() == 6
     assert not re.search(r"hashpartitioning\(gene#\d+L, cell#\d+L, \d+\), REPARTITION_BY_NUM", plans[0])
+
+
+def test_fits_read_tables_of_the_cells_and_no_cell_without_a_count():
+    rng = np.random.default_rng(8)
+    row, log_size = np.repeat([0, 1, 2], 400), np.concatenate([np.sort(rng.normal(0, 1, 400)) for _ in range(3)])
+    cells = rng.integers(1, 4, 1200).astype(float)
+    curves = nb.CellBins(row, log_size, cells).curves(3)
+    for t in (-70.0, -41.2, -3.3, 0.4, 12.8, 60.0):
+        z = np.exp(t + log_size)
+        want = np.stack([np.bincount(row, cells * v) for v in (np.log1p(z), z / (1 + z), z / (1 + z) ** 2)], axis=1)
+        assert np.allclose(curves.at(np.full(3, t)), want, rtol=1e-13)
+    x = np.array([[1.0, 0, 0], [1, 1, 0], [1, 0, 1]])
+    seen = np.sort(rng.choice(1200, 40, replace=False))
+    count = rng.integers(1, 30, 40).astype(float)
+    gene = nb.GeneSums(row[seen], log_size[seen], count)
+    only = nb.JoinedRows(curves)  # holds no cells
+    beta, inverse, _, rest = nb.fit(x, gene, only, 0.4)
+    eta = x @ beta
+    mu = np.exp(log_size + eta[row])
+    total = np.bincount(seen, count, 1200)
+    assert rest and np.allclose(x.T @ np.bincount(row, (total - cells * mu) / (1 + 0.4 * mu)), 0, atol=1e-6)
+    assert 1e-8 <= nb.best_dispersion(x, eta, gene, only, *[v.astype(float) for v in np.unique(count, return_counts=True)]) <= 20
+    rows = pd.DataFrame({"row": row[seen], "log_size": log_size[seen], "count": count, "cells": 1.0})
+    leverage = np.einsum("ij,jk,ik->i", x, inverse, x)
+    top, value = nb.most_influential(rows, nb.CellBins(row, log_size, cells), eta, leverage, 3, 0.4)
+    held = np.append(np.ones(40), cells - np.bincount(seen, minlength=1200))
+    y, r, s = np.append(count, np.zeros(1200)), np.append(row[seen], row), np.append(log_size[seen], log_size)
+    y, r, s, held = (v[held > 0] for v in (y, r, s, held))
+    spread = nb.robust_dispersion(r, y / np.exp(s), held, 3)
+    m = np.exp(s + eta[r])
+    hat = leverage[r] * m / (1 + 0.4 * m)
+    distance = (y - m) ** 2 / (m + spread * m * m) / 3 * hat / (1 - hat) ** 2
+    assert np.isclose(top, distance.max(), rtol=1e-9) and value == y[distance.argmax()]
