@@ -227,3 +227,17 @@ def test_fits_read_tables_of_the_cells_and_no_cell_without_a_count():
     hat = leverage[r] * m / (1 + 0.4 * m)
     distance = (y - m) ** 2 / (m + spread * m * m) / 3 * hat / (1 - hat) ** 2
     assert np.isclose(top, distance.max(), rtol=1e-9) and value == y[distance.argmax()]
+
+
+def test_genes_are_read_whole_across_batches(spark):
+    rows = [(g, 0, 0.1 * k, float(k + 1), 1.0) for g in (None, 1, 2, 3) for k in range(7)] + [(4, 0, 0.0, 2.0, 3.0)]
+    frame = spark.createDataFrame(rows, "gene long, row int, log_size double, count double, cells double")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (1, 3, 5, 1000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+            got = models._each_gene(frame, lambda r: [(r["gene"], len(r["row"]), float(r["count"].sum()), bool(np.all(np.diff(r["log_size"]) >= 0)))],
+                                    "gene long, n long, total double, ordered boolean").collect()
+            assert sorted(map(tuple, got), key=lambda r: r[0] or 0) == [(g, 7, 28.0, True) for g in (None, 1, 2, 3)] + [(4, 1, 2.0, True)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
