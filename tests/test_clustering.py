@@ -50,6 +50,18 @@ def test_ward_with_equal_distances_and_a_chain(spark):
         clustering.ward(spark.createDataFrame([(1, 2, 1.0), (3, 4, 1.0)], "i int, j int, d double"))
 
 
+def test_ward_over_many_groups_of_rows(spark, monkeypatch):
+    """Rows of a merge meet in one group, copies of a cell tie, and a cell whose distances are all null has no place in the tree."""
+    monkeypatch.setattr(clustering, "BLOCK", 64)
+    x = np.random.default_rng(3).normal(size=(24, 5))
+    x[12:18] = x[:6] + 1e-9
+    near = _distances(spark, x)
+    lost = spark.createDataFrame([(i, 30, None) for i in range(24)], "i bigint, j bigint, d double")
+    merges = clustering.ward(near.unionByName(lost)).toPandas().sort_values("step")
+    assert len(merges) == 23 and 30 not in set(merges.right)
+    assert np.allclose(merges.height, np.sort(_naive_heights(x, False)))
+
+
 def test_cut_and_order(spark):
     x = _points()
     merges = clustering.ward(_distances(spark, x))
