@@ -28,23 +28,29 @@ def alignment_blocks(alignments: DataFrame) -> DataFrame:
         {"start": F.col("_b.start"), "end": F.col("_b.end")}).drop("_b")
 
 
+def _touched(blocks: DataFrame, exons: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """Reads whose blocks touch a gene, with that gene, or ``__ambiguous`` for several: smallest and largest gene decide."""
+    hits = overlap_join(blocks.select(*keys, "chrom", "start", "end"), exons, width)
+    genes = hits.groupBy(*keys).agg(F.min("gene").alias("_low"), F.max("gene").alias("_high"))
+    return genes.select(*keys, F.when(F.col("_low") != F.col("_high"), "__ambiguous").otherwise(F.col("_low").cast("string")).alias("gene"))
+
+
 def assign_reads(blocks: DataFrame, exons: DataFrame, keys: list[str], width: int = 1000) -> DataFrame:
     """Union mode: a read belongs to the single gene its blocks touch.
 
     Smallest and largest gene decide between one and several, so no gene list is gathered. Reads
     without any overlap get ``__no_feature``, reads on several genes ``__ambiguous``.
     """
-    hits = overlap_join(blocks.select(*keys, "chrom", "start", "end"), exons, width)
-    genes = hits.groupBy(*keys).agg(F.min("gene").alias("_low"), F.max("gene").alias("_high"))
-    feature = (
-        F.when(F.col("_low").isNull(), "__no_feature")
-        .when(F.col("_low") != F.col("_high"), "__ambiguous")
-        .otherwise(F.col("_low").cast("string")))
-    return blocks.select(*keys).distinct().join(genes, keys, "left").select(*keys, feature.alias("gene"))
+    genes = _touched(blocks, exons, keys, width)
+    return blocks.select(*keys).distinct().join(genes, keys, "left").select(*keys, F.coalesce("gene", F.lit("__no_feature")).alias("gene"))
 
 
 def count_features(alignments: DataFrame, exons: DataFrame, min_mapq: int = 10, width: int = 1000) -> DataFrame:
-    """Reads per gene and run, with the summary classes; mates of a pair count as one read."""
+    """Reads per gene and run, with the summary classes; mates of a pair count as one read.
+
+    One alignment that is not unique or too low decides its read's class, whatever genes the read touches, so only blocks of the
+    other alignments meet the exons. Reads that touch no gene need no row there.
+    """
     flag = F.col("flag")
     primary = alignments.filter((flag.bitwiseAND(0x900) == 0))
     multi = F.coalesce(F.col("tags")["NH"].cast("int"), F.lit(1)) > 1
@@ -58,10 +64,11 @@ def count_features(alignments: DataFrame, exons: DataFrame, min_mapq: int = 10,
         .when(F.col("_multi"), "__alignment_not_unique")
         .when(F.col("_mapq") < min_mapq, "__too_low_aQual"))
     classed = per_read.select("run", "name", state.alias("_class"))
-    blocks = alignment_blocks(primary.filter(flag.bitwiseAND(4) == 0))
-    assigned = assign_reads(blocks, exons, ["run", "name"], width)
+    open_ones = primary.filter((flag.bitwiseAND(4) == 0) & ~multi & ~F.coalesce(F.col("mapq") < min_mapq, F.lit(False)))
+    blocks = alignment_blocks(open_ones.select("run", "name", "chrom", "pos", "cigar"))
+    touched = _touched(blocks, exons, ["run", "name"], width)
     return (
-        classed.join(assigned, ["run", "name"], "left")
+        classed.join(touched, ["run", "name"], "left")
         .groupBy("run", F.coalesce("_class", "gene", F.lit("__no_feature")).alias("gene"))
         .agg(F.count("*").alias("count"))
     )
