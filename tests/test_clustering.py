@@ -62,6 +62,18 @@ def test_ward_over_many_groups_of_rows(spark, monkeypatch):
     assert np.allclose(merges.height, np.sort(_naive_heights(x, False)))
 
 
+def test_ward_merges_equal_cells_at_once(spark, monkeypatch):
+    """Two sets of equal cells take no round each, and give the tree of single merges."""
+    rounds, plan = [], clustering._plan
+    monkeypatch.setattr(clustering, "_plan", lambda rows: rounds.append(1) or plan(rows))
+    x = np.random.default_rng(5).normal(size=(30, 4))
+    x[3:12], x[20:30] = x[3], x[20]
+    merges = clustering.ward(_distances(spark, x)).toPandas().sort_values("step")
+    assert np.allclose(merges.height, np.sort(_naive_heights(x, False))) and len(rounds) < 9
+    zero = merges[merges.height == 0]
+    assert set(zero.left) == {3, 20} and zero[zero.left == 3].right.tolist() == list(range(4, 12)) and zero[zero.left == 3].left_size.tolist() == list(range(1, 9))
+
+
 def test_cut_and_order(spark):
     x = _points()
     merges = clustering.ward(_distances(spark, x))
