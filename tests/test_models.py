@@ -151,6 +151,15 @@ def test_tmm_factors_have_geometric_mean_one(spark):
     assert abs(np.log(factors).mean()) < 1e-9
 
 
+def test_tmm_of_libraries_that_hold_one_gene(spark):
+    """Cells and a reference that hold the same gene only: equal shares, no variance to divide by."""
+    counts = spark.createDataFrame([(1, 1, 5), (1, 2, 9), (1, 3, 2), (2, 3, 7)], "gene long, cell long, count long")
+    factors = {r.cell: r.factor for r in normalize.tmm_factors(counts).collect()}
+    assert factors[1] == factors[2] and abs(np.log(list(factors.values())).sum()) < 1e-9
+    sizes = {r.cell: r.size_factor for r in normalize.tmm_size_factors(counts).collect()}
+    assert abs(sizes[2] / sizes[1] - 9 / 5) < 1e-9
+
+
 def test_pooled_factors_follow_the_planted_sizes(spark):
     counts, cells = _simulated(spark, genes=200)
     found = normalize.size_factors_pooled(counts).toPandas().merge(cells.toPandas(), on="cell", suffixes=("", "_true"))
