@@ -250,3 +250,62 @@ def test_genes_are_read_whole_across_batches(spark):
             assert sorted(map(tuple, got), key=lambda r: r[0] or 0) == [(g, 7, 28.0, True) for g in (None, 1, 2, 3)] + [(4, 1, 2.0, True)]
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_genes_of_a_batch_are_fitted_as_if_alone():
+    """One pass over a batch, whatever steps its genes need: also genes of one count, of huge counts and of a single design row."""
+    rng = np.random.default_rng(11)
+    row, log_size = np.repeat([0, 1, 2], 50), np.concatenate([np.sort(rng.normal(0, 0.5, 50)) for _ in range(3)])
+    bins = nb.CellBins(row, log_size, np.ones(150))
+    x, wide = np.array([[1.0, 0, 0], [1, 1, 0], [1, 0, 1]]), np.array([[1.0, 0], [1, 1], [1, 1]])
+    genes = []
+    for k in range(30):
+        seen = np.sort(rng.choice(150 if k % 5 else 50, 1 if k == 7 else 40, replace=False))
+        genes.append((seen, rng.negative_binomial(2, 0.1, len(seen)) + 1.0 + (90_000.0 if k == 9 else 0.0)))
+    gene, at, count = (np.concatenate(v) for v in ([np.full(len(s), k) for k, (s, _) in enumerate(genes)], [s for s, _ in genes], [c for _, c in genes]))
+    batch, alpha = nb.GeneBatch(30, gene, row[at], log_size[at], count), rng.uniform(0.05, 2, 30)
+    order = np.lexsort((count, gene))
+    seen = nb.CountValues(gene[order], count[order], np.ones(len(order)))
+    calls = []
+    look = nb.CellCurves.at
+    nb.CellCurves.at = lambda self, t, *rest: calls.append(len(t)) or look(self, t, *rest)
+    try:
+        for design in (x, wide):
+            calls.clear()
+            beta, weight, value, rest = nb.fits(design, batch, bins, alpha)
+            assert len(calls) < 300 and max(calls) == 30  # not one pass a gene
+            own = nb.best_dispersions(design, np.maximum(beta @ design.T, -30), batch, bins, seen)
+            top, cell = nb.most_influential_of(batch, count, np.ones(len(count)), bins, beta @ design.T, np.ones((30, 3)) * 0.1, 3, alpha)
+            for k, (s, c) in enumerate(genes):
+                alone = nb.GeneSums(row[s], log_size[s], c)
+                b, inverse, v, r = nb.fit(design, alone, bins, alpha[k])
+                assert rest[k] == r and np.allclose(beta[k], b, atol=1e-8) and np.isclose(value[k], v) and np.allclose(nb.inverses(design, weight)[k], inverse)
+                one = nb.best_dispersion(design, np.maximum(design @ b, -30), alone, bins, *np.unique(c, return_counts=True))
+                assert np.isclose(own[k], one, rtol=1e-6)
+                rows = {"row": row[s], "log_size": log_size[s], "count": c, "cells": np.ones(len(c))}
+                t, w = nb.most_influential(rows, bins, design @ b, np.ones(3) * 0.1, 3, alpha[k])
+                assert np.isclose(top[k], t) and cell[k] == w
+    finally:
+        nb.CellCurves.at = look
+
+
+def test_differences_of_log_gamma_keep_their_digits():
+    """Against the sum of logs, where the difference of two large terms has lost it."""
+    for value, alpha in ((50.0, 1e-8), (3.0, 1e-5), (700.0, 0.2), (1.0, 20.0)):
+        want = math.fsum(math.log1p(k * alpha) for k in range(int(value)))
+        assert abs(nb.rising(np.array([value]), np.array([0]), np.array([[alpha]]))[0, 0] - want) < 1e-11 * max(1.0, want)
+
+
+def test_genes_of_a_batch_end_where_the_next_begins(spark, monkeypatch):
+    """Batches that are larger and smaller than one gene's rows, with null and string genes."""
+    rows = [(g, k % 2, 0.1 * k, float(k + 1), 1.0) for g in (None, "a", "b", "c", "d") for k in range(9)]
+    frame = spark.createDataFrame(rows, "gene string, row int, log_size double, count double, cells double")
+    for most, size in ((1, 2), (9, 4), (20, 3), (1 << 16, 7)):
+        monkeypatch.setattr(models, "AT_ONCE", most)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+        try:
+            body = lambda genes, edges, c: [genes, np.diff(edges), np.add.reduceat(c["count"], edges[:-1])]
+            got = models._gene_batches(frame, body, "gene string, n long, total double").collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert sorted(map(tuple, got), key=lambda r: r[0] or "") == [(g, 9, 45.0) for g in (None, "a", "b", "c", "d")]
