@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 
 from cellweave.functions import nb, tails
-from cellweave.operators import models, normalize
+from cellweave.operators import grids, models, normalize
 from cellweave.plans import analyses
 
 
@@ -309,3 +309,23 @@ def test_genes_of_a_batch_end_where_the_next_begins(spark, monkeypatch):
         finally:
             spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
         assert sorted(map(tuple, got), key=lambda r: r[0] or "") == [(g, 9, 45.0) for g in (None, "a", "b", "c", "d")]
+
+
+def test_cooks_of_every_gene_and_chosen_cell_without_a_shuffle_of_them(spark, monkeypatch):
+    monkeypatch.setattr(grids, "SPAN", 5)  # several arrays a row
+    counts, cells = _simulated(spark, genes=12, cells=60)
+    counts = counts.filter("not (gene = 3 and cell % 2 = 1)").unionByName(spark.createDataFrame([(4, 1000, 7)], counts.schema))
+    ready = models.prepare(counts, cells, ["group"])
+    fitted = models.likelihood_ratio(ready, counts.selectExpr("gene", "0.2D AS dispersion").distinct(), [1])
+    found = models.cooks(counts, ready, fitted, cells.filter("cell <> 5").select("cell"))
+    assert not re.search(r"hashpartitioning\((cell_number|gene#\d+L, cell)", found._jdf.queryExecution().executedPlan().toString())
+    got = {(r.gene, r.cell): r.cooks for r in found.collect()}
+    assert found.count() == len(got) == 12 * 59
+    y, table = {(r["gene"], r["cell"]): r["count"] for r in counts.collect()}, cells.toPandas()
+    for r in fitted.collect():
+        for c, group, size in table[["cell", "group", "size_factor"]].itertuples(index=False):
+            at = "ab".index(group)
+            mu = math.exp(r.eta[at]) * size
+            hat = min(0.999999, r.leverage[at] * mu / (1 + 0.2 * mu))
+            want = (y.get((r.gene, c), 0) - mu) ** 2 / (mu + 0.2 * mu * mu) / 2 * hat / (1 - hat) ** 2
+            assert c == 5 or abs(got[r.gene, c] - want) <= 1e-9 * max(want, 1e-12)
