@@ -64,3 +64,22 @@ def test_null_correlations_follow_the_order_of_the_digests(spark):
         order = sorted(range(1, 42), key=lambda k: hashlib.md5(f"7-{draw}-{k}".encode()).hexdigest())
         want.append(1.0 - 6.0 * sum((x - k) ** 2 for k, x in enumerate(order, 1)) / (41 * (41 * 41 - 1.0)))
     assert sorted(r.rho for r in got.collect()) == sorted(want)
+
+
+def test_blocks_are_written_once_and_never_copied(spark, monkeypatch):
+    """Many blocks of bounded size; each pair of blocks meets in one order, and items whose values are all null or zero stay."""
+    monkeypatch.setattr(distance, "ENTRIES", 20)
+    rng = np.random.default_rng(6)
+    x = rng.poisson(1.0, (30, 12)).astype(float)
+    x[4] = 0
+    i, j = np.nonzero(x)
+    rows = [(int(a), int(c), float(x[a, c])) for a, c in zip(i, j)] + [(4, 2, None), (4, 3, 0.0)]
+    assay = spark.createDataFrame(rows, "cell long, gene long, value double")
+    blocks = distance._written_blocks(assay, "value", "cell", "gene", 256)
+    assert blocks.count() > len(rows) // 20 - 3 and sum(len(r.v) // 8 for r in blocks.collect()) == len(i)
+    got = distance.pair_products(assay)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    table = got.toPandas()
+    assert len(table) == 30 * 29 // 2 == len(table.drop_duplicates(["i", "j"])) and (table.i < table.j).all()
+    assert np.allclose(table.xy, (x @ x.T)[table.i, table.j])
