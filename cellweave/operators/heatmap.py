@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.context import scalar, settle
-from cellweave.operators.clustering import leaf_order, ward
+from cellweave.operators.clustering import leaf_order, numbered_sets, ward
 from cellweave.operators.distance import euclidean
 from cellweave.operators.grids import spread
 from cellweave.operators.ranking import restrict_genes
@@ -37,7 +39,7 @@ def gene_distances(assay: DataFrame, means: DataFrame, n) -> DataFrame:
 def heatmap_matrix(assay: DataFrame, genes: DataFrame, cells: DataFrame, label: str, value: str = "value", variant: str = "ward.D") -> DataFrame:
     """``(gene, cell, gene_position, cell_position, value, label)`` for every chosen gene and cell.
 
-    Values are centred by gene. Centring moves all cells of a gene alike, so distances between cells need stored values only, and the
+    Equal cells merge first in their tree, so one of them stands for all in the distances. Values are centred by gene. Centring moves all cells of a gene alike, so distances between cells need stored values only, and the
     trees are grown without the dense matrix. That is spread at the end only: each gene over its places 1 to n, without a join
     of genes with cells; stored values then meet their place.
     """
@@ -45,8 +47,10 @@ def heatmap_matrix(assay: DataFrame, genes: DataFrame, cells: DataFrame, label:
     stored = settle(with_silent(assay, genes, cells, value))
     n = scalar(cells.select("cell").distinct().agg(F.count("*")))
     means = settle(stored.groupBy("gene").agg(F.sum("value").alias("_s")).withColumn("_n", n).select("gene", "_n", (F.col("_s") / F.col("_n")).alias("mean")))
-    across = settle(_places(stored, euclidean(stored), "cell", variant))
-    down = _places(means, gene_distances(stored, means, n), "gene", variant)
+    equal = settle(equal_cells(stored))
+    apart = stored.join(equal.filter("k > 1").select(F.col("c").alias("cell")), "cell", "left_anti")
+    across = settle(_places(stored, lambda: euclidean(apart), "cell", variant, equal))
+    down = _places(means, lambda: gene_distances(stored, means, n), "gene", variant)
     grid = spread(means.join(down, "gene"), F.lit(1), F.col("_n"), "cell_position").drop("_n")
     placed = stored.join(across, "cell").select("gene", "cell_position", "value")
     columns = across.join(cells.select("cell", F.col(label).alias("label")), "cell")
@@ -54,9 +58,17 @@ def heatmap_matrix(assay: DataFrame, genes: DataFrame, cells: DataFrame, label:
         "gene", "cell", "gene_position", "cell_position", (F.coalesce("value", F.lit(0.0)) - F.col("mean")).alias("value"), "label")
 
 
-def _places(known: DataFrame, distances: DataFrame, name: str, variant: str) -> DataFrame:
+def equal_cells(stored: DataFrame) -> DataFrame:
+    """Sets of cells with the same values of all genes, as ``ward`` takes them: of few genes most cells hold none, and their pairs need no distance."""
+    held = F.array_sort(F.collect_list(F.when(F.col("value") != 0, F.struct("gene", "value"))))
+    profiles = settle(stored.groupBy(F.col("cell").alias("c")).agg(held.alias("held")))
+    sets = profiles.groupBy("held").agg(F.min("c").alias("lead"), F.count("*").alias("members")).filter("members > 1")
+    return numbered_sets(profiles.join(sets, "held").select("lead", "c", "members"))
+
+
+def _places(known: DataFrame, distances: Callable[[], DataFrame], name: str, variant: str, equal: DataFrame | None = None) -> DataFrame:
     """Leaf positions of all names; one alone has no tree and stands first."""
     names = known.select(name).distinct()
     if names.limit(2).count() < 2:
         return names.select(name, F.lit(1).cast("bigint").alias(f"{name}_position"))
-    return leaf_order(ward(distances, variant)).select(F.col("cell").alias(name), F.col("position").alias(f"{name}_position"))
+    return leaf_order(ward(distances(), variant, equal)).select(F.col("cell").alias(name), F.col("position").alias(f"{name}_position"))
