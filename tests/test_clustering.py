@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from cellweave import context
 from cellweave.operators import clustering, distance, projection
 
 
@@ -74,6 +75,26 @@ def test_ward_merges_equal_cells_at_once(spark, monkeypatch):
     assert set(zero.left) == {3, 20} and zero[zero.left == 3].right.tolist() == list(range(4, 12)) and zero[zero.left == 3].left_size.tolist() == list(range(1, 9))
 
 
+def test_ward_deals_its_rows_in_passes(spark, monkeypatch):
+    """Every pass shuffles a part of the rows, and its shuffle files are gone when it is written."""
+    held, whole = [], context.written
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+
+    def written(df, name):
+        out = whole(df, name)
+        files = manager.diskBlockManager().getAllFiles()
+        held.append(sum("shuffle" in files.apply(k).getName() for k in range(files.size())))
+        return out
+
+    monkeypatch.setattr(clustering, "written", written)
+    monkeypatch.setattr(clustering, "BLOCK", 64)
+    monkeypatch.setattr(clustering, "PASS", 200)
+    x = np.random.default_rng(13).normal(size=(24, 5))
+    merges = clustering.ward(_distances(spark, x)).toPandas().sort_values("step")
+    assert np.allclose(merges.height, np.sort(_naive_heights(x, False)))
+    assert len(held) > 20 and held[-1] <= held[0]
+
+
 def test_cut_and_order(spark):
     x = _points()
     merges = clustering.ward(_distances(spark, x))
