@@ -4,6 +4,7 @@ import itertools
 import numpy as np
 import pandas as pd
 
+from cellweave.functions import digests
 from cellweave.operators import distance, lookups, variance
 
 
@@ -83,3 +84,20 @@ def test_blocks_are_written_once_and_never_copied(spark, monkeypatch):
     table = got.toPandas()
     assert len(table) == 30 * 29 // 2 == len(table.drop_duplicates(["i", "j"])) and (table.i < table.j).all()
     assert np.allclose(table.xy, (x @ x.T)[table.i, table.j])
+
+
+def test_digests_of_numbered_texts():
+    """Numbers of all lengths, in several parts, after texts of all lengths, also those that need a second block of MD5."""
+    for start in (b"", b"7-", b"100-99999-", b"x" * 49, b"x" * 50, b"x" * 60):
+        count = 12_345 if len(start) < 20 else 1_000
+        halves = digests.md5_of_numbered(start, count, digests.numbered_words(len(start), count))
+        want = [hashlib.md5(start + b"%d" % k).digest() for k in range(1, count + 1)]
+        assert [int(a).to_bytes(8, "big") + int(b).to_bytes(8, "big") for a, b in zip(*halves)] == want
+
+
+def test_null_correlations_hash_many_places_at_once(spark, monkeypatch):
+    """One call of the library a place took most of the time."""
+    calls, whole = [], hashlib.md5
+    monkeypatch.setattr(hashlib, "md5", lambda *a: calls.append(1) or whole(*a))
+    digests.md5_of_numbered(b"100-5-", 5000, digests.numbered_words(6, 5000))
+    assert not calls
